@@ -33,20 +33,19 @@ def to_double(col: Column) -> Column:
     return F.when(col.rlike(NUMERIC_PATTERN), col.try_cast("double"))
 
 
-def to_whole_number(col: Column, name: str = "value") -> Column:
-    """Text -> bigint through double, so ``'1.0'`` is 1 and ``'abc'`` is NULL.
-
-    A fractional number cannot become an integer; like the reference, that stops the job.
-    """
-    number = to_double(col)
-    return (
-        F.when(number.isNull(), F.lit(None).cast("bigint"))
-        .when(number == F.floor(number), number.cast("bigint"))
-        .otherwise(F.raise_error(F.concat(F.lit(f"fractional value in integer column {name}: "), col)))
-        .cast("bigint")
+def whole_number(number: Column, name: str = "value") -> Column:
+    """A parsed double -> bigint (``1.0`` -> 1). A fractional number cannot become an integer;
+    like the reference, that stops the job."""
+    return F.when(number == F.floor(number), number.cast("bigint")).when(
+        number.isNotNull(), F.raise_error(F.lit(f"fractional value in integer column {name}"))
     )
 
 
+def to_whole_number(col: Column, name: str = "value") -> Column:
+    """Text -> bigint through double, so ``'1.0'`` is 1 and ``'abc'`` is NULL."""
+    return whole_number(to_double(col), name)
+
+
 def month_number(month_name: Column) -> Column:
     """English month name -> 1..12; any other text (or NULL) -> NULL."""
     expr = F.when(F.lit(False), F.lit(None))
@@ -56,11 +55,14 @@ def month_number(month_name: Column) -> Column:
 
 
 def date_from_parts(year: Column, month: Column, day: Column) -> Column:
-    """A calendar date, or NULL when a part is missing or the date does not exist (31 Feb)."""
-    text = F.concat_ws("-", year.cast("string"), month.cast("string"), day.cast("string"))
-    return F.when(
-        year.isNotNull() & month.isNotNull() & day.isNotNull(), F.try_to_date(text, "yyyy-M-d")
-    )
+    """A calendar date, or NULL when a part is missing or the date does not exist (31 Feb).
+
+    Checked arithmetically (month 1-12, day within the month) before ``make_date``, which would
+    raise on an impossible date; cheaper per row than formatting and parsing a text date.
+    """
+    in_range = year.between(1, 9999) & month.between(1, 12) & day.between(1, 31)
+    month_days = F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1))))
+    return F.when(in_range, F.when(day <= month_days, F.make_date(year, month, day)))
 
 
 def blank_to_null(col: Column) -> Column:

@@ -83,7 +83,8 @@ def build_dimension(silver: DataFrame, name: str) -> Dimension:
     staged = stage(members(silver, name), f"{name}_members")
     rows = staged.count()
     numbered = number_rows(staged, DIMENSION_MEMBERS[name], DIMENSION_KEYS[name], rows=rows)
-    return Dimension(name, with_schema(numbered, DIMENSION_SCHEMAS[name]), rows)
+    # Written once, so every consumer reads the numbered table instead of re-running the window.
+    return Dimension(name, stage(with_schema(numbered, DIMENSION_SCHEMAS[name]), name), rows)
 
 
 def build_dimensions(silver: DataFrame) -> dict[str, Dimension]:

@@ -20,6 +20,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Generated methods above 8000 bytes of bytecode are never JIT-compiled by HotSpot; the silver
+    # stage fuses ~40 column expressions, so let such stages fall back to per-operator codegen.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.driver.memory": "16g",
 }
 
