@@ -11,26 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql import types as T
-
 from roomledger.functions.parsing import clean_column_name, null_if_missing
 from roomledger.schema import RAW_COLUMNS
 
 
-def read_raw_csv(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None) -> DataFrame:
-    """Raw bookings from CSV file(s) with a header row; all columns as strings.
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Raw bookings from CSV file(s) with a header row; every column as text.
 
-    ``columns`` are the header names in file order (defaults to the canonical raw order); the
-    header names are cleaned (trim, lower case, spaces to underscores) and then matched by name.
+    Without a schema and without inference Spark reads all columns as strings and takes the
+    names from the header (first line only, not a pass over the data). Names are cleaned (B1) and
+    columns are then selected by name, so the file's column order does not matter.
     """
-    names = columns or RAW_COLUMNS
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    reader = spark.read.schema(schema).option("header", "true").option("quote", '"').option("escape", '"')
-    # Keep empty fields as "" (not NULL) so that token normalisation sees exactly what pandas sees.
-    reader = reader.option("emptyValue", "").option("nullValue", "\u0000")
-    df = reader.csv(path)
+    df = spark.read.option("header", "true").option("quote", '"').option("escape", '"').csv(path)
     df = df.toDF(*[clean_column_name(c) for c in df.columns])
-    return normalise_missing(df)
+    missing = [c for c in RAW_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"raw file lacks columns: {missing}")
+    return normalise_missing(df.select(*RAW_COLUMNS))
 
 
 def normalise_missing(df: DataFrame) -> DataFrame:
