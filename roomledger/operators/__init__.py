@@ -1,0 +1 @@
+"""DataFrame -> DataFrame stages: silver, gold, views, quality checks, profile, numbering, joins."""

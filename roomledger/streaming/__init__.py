@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The booking pipeline this library re-creates is a batch full reload: no stream source, watermark,
+window over event time, stateful operator or late-data handling exists in it, so none is built
+here (SURVEY §2.8). The silver stage is written as plain DataFrame transformations, so the
+row-local steps would run unchanged on a ``readStream`` source; the full-row dedupe would then
+need ``dropDuplicatesWithinWatermark`` and a watermark column that the source data does not have.
+"""

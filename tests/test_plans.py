@@ -90,3 +90,20 @@ def test_booking_keys_do_not_depend_on_input_order(spark, gold):
     a = G.build_fact(s, dims)
     b = G.build_fact(shuffled, dims, partitions=3)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_pipeline_end_to_end(spark):
+    from roomledger.plans import medallion as M
+    from roomledger.session import scratch_dir
+    from roomledger.sources.csv import write_csv
+
+    root = scratch_dir()
+    write_csv(raw_bookings(spark, SF_SMALL), f"{root}/raw")
+    result = M.run_all(spark, f"{root}/raw", f"{root}/wh", enforce_quality=False)
+    assert set(result.versions) == {"silver", "dim_date", "dim_hotel", "dim_customer", "dim_room", "dim_channel",
+                                    "fact_booking"}
+    assert spark.table("vw_booking_overview").first().total_bookings == 1506  # FIXTURES.md §4
+    checks = M.check_gold(spark, f"{root}/wh")
+    assert all(r.orphan_rows == 0 for r in checks["orphans"].collect())
+    with pytest.raises(Exception, match="adr_invalid"):
+        M.check_silver(spark, f"{root}/wh", enforce=True)  # S12: negative ADR fails the gate
