@@ -23,9 +23,14 @@ def clean_column_name(name: str) -> str:
     return name.strip().lower().replace(" ", "_")
 
 
-def null_if_missing(col: Column, tokens: Iterable[str] = MISSING_TOKENS) -> Column:
+def missing_tokens(tokens: Iterable[str] = MISSING_TOKENS) -> list[Column]:
+    """The tokens as literal columns, built once and shared by every column's test."""
+    return [F.lit(t) for t in tokens]
+
+
+def null_if_missing(col: Column, tokens: list[Column] | None = None) -> Column:
     """NULL when the whole cell equals one of the missing-value tokens (exact match)."""
-    return F.when(~col.isin(list(tokens)), col)
+    return F.when(~col.isin(*(tokens if tokens is not None else missing_tokens())), col)
 
 
 def to_double(col: Column) -> Column:

@@ -23,6 +23,9 @@ LOCAL_CONF = {
     # Generated methods above 8000 bytes of bytecode are never JIT-compiled by HotSpot; the silver
     # stage fuses ~40 column expressions, so let such stages fall back to per-operator codegen.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Building a plan of ~40 wide expressions makes thousands of Python->JVM calls; recording the
+    # Python call site of each one for error messages doubles that count.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.driver.memory": "16g",
 }
 
@@ -76,6 +79,17 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan that has fewer splits than the session's shuffle parallelism.
+
+    A small table stored as one row group is read by one task, which would then run every later
+    per-row step alone. Large inputs have far more splits than that, so for them this is a no-op
+    and adds no shuffle; for small ones the shuffle is cheap and buys all cores.
+    """
+    target = default_parallelism(df.sparkSession)
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def scratch_dir(prefix: str = "roomledger-") -> str:
     """A new local scratch folder (tests only)."""
     return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))

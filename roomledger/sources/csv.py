@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.functions.parsing import clean_column_name, null_if_missing
+from roomledger.functions.parsing import clean_column_name, missing_tokens, null_if_missing
 from roomledger.schema import RAW_COLUMNS
 
 
@@ -32,7 +32,8 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def normalise_missing(df: DataFrame) -> DataFrame:
     """Missing-value tokens (``''``, ``NA``, ``NULL``, ``nan`` ...) -> NULL in every column (A2)."""
-    return df.select(*[null_if_missing(F.col(c)).alias(c) for c in df.columns])
+    tokens = missing_tokens()
+    return df.select(*[null_if_missing(F.col(c), tokens).alias(c) for c in df.columns])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

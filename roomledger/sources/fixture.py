@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from roomledger.operators.joins import join_small
 from roomledger.schema import RAW_COLUMNS
+from roomledger.session import spread
 from roomledger.sources.tables import read_table
 
 ROOM_LETTERS = "ABCDEFGH"
@@ -38,12 +39,16 @@ def _letter(number: Column) -> Column:
 
 
 def raw_bookings_from_tables(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = spread(
+        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    )
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     n = nation.select("n_nationkey", "n_name")
-    # customer -> nation: nation is a fixed-size code table; join_small checks that before broadcasting.
+    # nation is a fixed-size code table; customers are broadcast only while their measured count is
+    # below the bound (at scale they are not, and orders x customers becomes a shuffle join). An
+    # explicit check, because the planner's size estimate for a join is the product of its inputs.
     cn = join_small(c, n, c["c_nationkey"] == n["n_nationkey"]).drop("n_nationkey")
-    base = o.join(cn, o["o_custkey"] == cn["c_custkey"], "inner")
+    base = join_small(o, cn, o["o_custkey"] == cn["c_custkey"])
 
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     od = F.to_date(F.col("o_orderdate"))
