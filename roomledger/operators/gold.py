@@ -5,8 +5,8 @@ Plan shape at scale:
 * each dimension reads only its own columns from the silver parquet (column pruning) with the
   ``VALID`` filter pushed into the scan, and its DISTINCT is aggregated partially map-side, so the
   shuffle carries at most (#members x #map tasks) rows whatever the skew of the data;
-* the distinct members are written to the shared folder and counted there; the count decides
-  how they are numbered (numbering.py) and whether they may be broadcast (joins.py);
+* the distinct members are persisted and counted (one job); the count decides how they are
+  numbered (numbering.py) and whether they may be broadcast (joins.py);
 * the fact is one map-only stage over silver with five broadcast hash joins (null-safe keys
   become hash keys), followed by the distributed booking numbering.
 """
@@ -31,7 +31,6 @@ from roomledger.schema import (
     FACT_MEASURES,
     STATUS_VALID,
 )
-from roomledger.session import stage
 from roomledger.sources.tables import with_schema
 
 
@@ -76,15 +75,20 @@ def members(silver: DataFrame, name: str) -> DataFrame:
 
 
 def build_dimension(silver: DataFrame, name: str) -> Dimension:
-    """A dimension, materialised in the shared folder, with its measured row count."""
+    """A dimension with its measured row count.
+
+    The distinct members are persisted and counted in one job; the count decides how they are
+    numbered and whether they may be broadcast. Members and keys are deterministic (DISTINCT, then
+    ROW_NUMBER over a total order), so a lost cached block is recomputed to the same rows from
+    silver; unlike the fact's numbering, nothing here needs to be written to be stable.
+    """
     if name == "dim_date":
-        staged = stage(date_members(silver), name)
-        return Dimension(name, staged, staged.count())
-    staged = stage(members(silver, name), f"{name}_members")
-    rows = staged.count()
-    numbered = number_rows(staged, DIMENSION_MEMBERS[name], DIMENSION_KEYS[name], rows=rows)
-    # Written once, so every consumer reads the numbered table instead of re-running the window.
-    return Dimension(name, stage(with_schema(numbered, DIMENSION_SCHEMAS[name]), name), rows)
+        dates = date_members(silver).persist()
+        return Dimension(name, dates, dates.count())
+    distinct = members(silver, name).persist()
+    rows = distinct.count()
+    numbered = number_rows(distinct, DIMENSION_MEMBERS[name], DIMENSION_KEYS[name], rows=rows)
+    return Dimension(name, with_schema(numbered, DIMENSION_SCHEMAS[name]), rows)
 
 
 def build_dimensions(silver: DataFrame) -> dict[str, Dimension]:
