@@ -79,15 +79,20 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a scan that has fewer splits than the session's shuffle parallelism.
 
     A small table stored as one row group is read by one task, which would then run every later
     per-row step alone. Large inputs have far more splits than that, so for them this is a no-op
     and adds no shuffle; for small ones the shuffle is cheap and buys all cores.
+
+    Hash-partitioning on ``keys`` (rather than round-robin, which Spark sorts first to make it
+    retry-safe) keeps the shuffle cheap. Counting the scan's splits only plans it; nothing runs.
     """
     target = default_parallelism(df.sparkSession)
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
 def scratch_dir(prefix: str = "roomledger-") -> str:

@@ -40,7 +40,8 @@ def _letter(number: Column) -> Column:
 
 def raw_bookings_from_tables(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     o = spread(
-        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+        "o_orderkey",
     )
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     n = nation.select("n_nationkey", "n_name")
