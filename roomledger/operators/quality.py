@@ -14,7 +14,15 @@ from pyspark.sql import functions as F
 
 from roomledger.functions.measures import count_where
 from roomledger.operators.gold import Dimension, valid
-from roomledger.schema import DIMENSION_KEYS, DIMENSION_SCHEMAS, EMPTY, EXPECTED_MIN_ROWS, FACT_KEYS, REVENUE_TOLERANCE
+from roomledger.operators.joins import small_side
+from roomledger.schema import (
+    DIMENSION_KEYS,
+    DIMENSION_SCHEMAS,
+    EMPTY,
+    EXPECTED_MIN_ROWS,
+    FACT_KEYS,
+    REVENUE_TOLERANCE,
+)
 
 ERROR, WARNING, OK = "ERROR", "WARNING", "OK"
 
@@ -202,8 +210,6 @@ def not_null_conformance(dims: dict[str, Dimension]) -> DataFrame:
 
 def orphan_keys(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
     """Fact rows whose foreign key has no dimension row (anti-join against broadcast keys)."""
-    from roomledger.operators.joins import small_side
-
     parts = []
     for key, name in zip(FACT_KEYS, DIMENSION_KEYS):
         keys = small_side(dims[name].df.select(key).distinct(), dims[name].rows)

@@ -1,7 +1,7 @@
 """CSV source and sink of raw and processed bookings.
 
-The source reads every column as text against an explicit schema: no schema inference (a second
-pass over the data, and unstable types). Quotes inside fields are doubled, as pandas writes them.
+The source reads every column as text, named by the header: no schema inference (a second pass
+over the data, and unstable types). Quotes inside fields are doubled, as pandas writes them.
 Missing-value tokens are normalised afterwards in one projection (A2) because Spark's CSV reader
 accepts only one ``nullValue`` token.
 """
