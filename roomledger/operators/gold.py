@@ -91,8 +91,8 @@ def build_dimension(silver: DataFrame, name: str) -> Dimension:
     return Dimension(name, with_schema(numbered, DIMENSION_SCHEMAS[name]), rows)
 
 
-def build_dimensions(silver: DataFrame) -> dict[str, Dimension]:
-    return {name: build_dimension(silver, name) for name in DIMENSION_SCHEMAS}
+def build_dimensions(silver: DataFrame, names=tuple(DIMENSION_SCHEMAS)) -> dict[str, Dimension]:
+    return {name: build_dimension(silver, name) for name in names}
 
 
 def _prefixed(dim: Dimension, prefix: str) -> DataFrame:

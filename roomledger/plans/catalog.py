@@ -50,7 +50,7 @@ def staged_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gold(spark: SparkSession, sf_dir: str, names=tuple(DIMENSION_SCHEMAS)):
     s = staged_silver(spark, sf_dir)
-    return s, {n: G.build_dimension(s, n) for n in names}
+    return s, G.build_dimensions(s, names)
 
 
 def _fact_and_dims(spark: SparkSession, sf_dir: str):
