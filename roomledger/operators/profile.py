@@ -41,8 +41,9 @@ def column_profile(df: DataFrame) -> DataFrame:
         .groupBy("column_name")
         .agg(F.count(F.lit(1)).alias("distinct_values"))
     )
+    # One row per column: bounded by the schema, not the data, so it is safe to broadcast.
     return (
-        counted.join(distinct, "column_name", "left")
+        counted.join(F.broadcast(distinct), "column_name", "left")
         .select(
             "column_name",
             "data_type",

@@ -209,13 +209,20 @@ def not_null_conformance(dims: dict[str, Dimension]) -> DataFrame:
 
 
 def orphan_keys(fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
-    """Fact rows whose foreign key has no dimension row (anti-join against broadcast keys)."""
-    parts = []
+    """Fact rows whose foreign key has no dimension row, for all five keys in one pass.
+
+    Each dimension's distinct keys (with a marker column) are left-joined to the fact's keys
+    through a size-checked broadcast, so the fact is scanned once and not shuffled; a missing
+    marker is an orphan. Distinct keys keep a dimension with a duplicated key from multiplying
+    fact rows.
+    """
+    keyed = fact.select(*FACT_KEYS)
     for key, name in zip(FACT_KEYS, DIMENSION_KEYS):
-        keys = small_side(dims[name].df.select(key).distinct(), dims[name].rows)
-        orphans = fact.select(key).join(keys, key, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphan_rows")).select(F.lit(key).alias("foreign_key"), "orphan_rows"))
-    return _union(parts)
+        known = dims[name].df.select(key).distinct().withColumn(f"_known_{key}", F.lit(True))
+        keyed = keyed.join(small_side(known, dims[name].rows), key, "left")
+    counts = keyed.agg(*[count_where(F.col(f"_known_{k}").isNull()).alias(k) for k in FACT_KEYS])
+    args = ", ".join(f"'{k}', `{k}`" for k in FACT_KEYS)
+    return counts.select(F.expr(f"stack({len(FACT_KEYS)}, {args}) as (foreign_key, orphan_rows)"))
 
 
 def reconciliation(silver: DataFrame, fact: DataFrame) -> DataFrame:
