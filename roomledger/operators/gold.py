@@ -87,8 +87,12 @@ def build_dimension(silver: DataFrame, name: str) -> Dimension:
         return Dimension(name, dates, dates.count())
     distinct = members(silver, name).persist()
     rows = distinct.count()
-    numbered = number_rows(distinct, DIMENSION_MEMBERS[name], DIMENSION_KEYS[name], rows=rows)
-    return Dimension(name, with_schema(numbered, DIMENSION_SCHEMAS[name]), rows)
+    numbered = with_schema(
+        number_rows(distinct, DIMENSION_MEMBERS[name], DIMENSION_KEYS[name], rows=rows), DIMENSION_SCHEMAS[name]
+    ).persist()
+    numbered.count()  # a job over the cached members only; consumers then read the numbered rows
+    distinct.unpersist()
+    return Dimension(name, numbered, rows)
 
 
 def build_dimensions(silver: DataFrame, names=tuple(DIMENSION_SCHEMAS)) -> dict[str, Dimension]:
