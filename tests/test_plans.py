@@ -133,3 +133,39 @@ def test_numeric_profile_against_brute_force(spark, gold):
             hi = ordered[min(len(col) - 1, int(np.ceil(q * len(col) + len(col) / 10000)))]
             assert lo <= v <= hi, (name, q, v, lo, hi)
     assert n > 0
+
+
+def test_paths_beyond_the_size_bounds_give_the_same_results(spark, gold):
+    """With the broadcast and single-task bounds set to 1 row, dimensions are numbered by the
+    distributed path and joined with shuffle joins; keys, fact and views must not change."""
+    s, dims = gold
+    expected_fact = G.build_fact(s, dims)
+    expected_view = V.booking_by_channel(G.fact_rows(s, dims), dims)
+    conf = {
+        "roomledger.broadcast.maxRows": "1",
+        "roomledger.numbering.singleTaskMaxRows": "1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        big_dims = G.build_dimensions(s)
+        fact = G.build_fact(s, big_dims)
+        view = V.booking_by_channel(G.fact_rows(s, big_dims), big_dims)
+        text = plan(G.fact_rows(s, big_dims))
+        # The five dimension joins fall back to sort-merge joins (the only broadcasts left are the
+        # per-partition offsets inside the distributed numbering, bounded by the partition count).
+        assert text.count("SortMergeJoin") >= 5
+        for name in ("dim_hotel", "dim_customer", "dim_room", "dim_channel"):
+            a, b = dims[name].df, big_dims[name].df
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        assert fact.exceptAll(expected_fact).count() == 0 and expected_fact.exceptAll(fact).count() == 0
+        assert view.exceptAll(expected_view).count() == 0 and expected_view.exceptAll(view).count() == 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
