@@ -397,12 +397,12 @@ def _gold_checks() -> dict[str, str]:
         f"WHERE NOT EXISTS (SELECT 1 FROM {d} x WHERE x.{k} = f.{k})"
         for d, (k, _) in _DIMS.items()
     )
-    recon = """SELECT v.valid_rows, v.joinable_rows, f.fact_rows, v.valid_rows - v.joinable_rows AS dropped_rows,
-  f.fact_rows - v.joinable_rows AS fanout_rows
-FROM (SELECT CAST(COUNT(*) AS BIGINT) AS valid_rows,
-             CAST(COALESCE(SUM(CASE WHEN arrival_date IS NOT NULL AND hotel IS NOT NULL THEN 1 ELSE 0 END), 0) AS BIGINT) AS joinable_rows
-      FROM valid_silver) v,
-     (SELECT CAST(COUNT(*) AS BIGINT) AS fact_rows FROM fact_rows) f"""
+    recon = """SELECT valid_rows, joinable_rows, fact_rows, valid_rows - joinable_rows AS dropped_rows,
+  fact_rows - joinable_rows AS fanout_rows
+FROM (SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM valid_silver) AS valid_rows,
+             (SELECT CAST(COUNT(*) AS BIGINT) FROM valid_silver WHERE arrival_date IS NOT NULL AND hotel IS NOT NULL)
+               AS joinable_rows,
+             (SELECT CAST(COUNT(*) AS BIGINT) FROM fact_rows) AS fact_rows)"""
     return {
         "gold_key_uniqueness": with_ctes(uniq),
         "gold_not_null": with_ctes(notnull),
