@@ -25,12 +25,17 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = False
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
+        if EXACT:
+            return repr(v)  # full precision, keeps the sign of zero
         return float(f"{v:.9g}") + 0.0
     if isinstance(v, (dt.date, dt.datetime)):
         return v.isoformat()
@@ -95,8 +100,10 @@ if __name__ == "__main__":
     sys.path.insert(0, "/root/repo")
     from roomledger.session import local_session
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2].split(",") if len(sys.argv) > 2 else None
+    args = [a for a in sys.argv[1:] if a != "--exact"]
+    EXACT = "--exact" in sys.argv
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1].split(",") if len(args) > 1 and args[1] else None
     spark = local_session(8)
     res = compare(spark, sf, names)
     bad = {k: v for k, v in res.items() if v[0] not in ("OK", "NO_ORACLE")}
