@@ -78,7 +78,8 @@ def build_dimension(silver: DataFrame, name: str) -> Dimension:
     """A dimension with its measured row count.
 
     The distinct members are persisted and counted in one job; the count decides how they are
-    numbered and whether they may be broadcast. Members and keys are deterministic (DISTINCT, then
+    numbered and whether they may be broadcast. The numbered rows are persisted as well and filled
+    by the first query that reads them. Members and keys are deterministic (DISTINCT, then
     ROW_NUMBER over a total order), so a lost cached block is recomputed to the same rows from
     silver; unlike the fact's numbering, nothing here needs to be written to be stable.
     """
@@ -89,9 +90,7 @@ def build_dimension(silver: DataFrame, name: str) -> Dimension:
     rows = distinct.count()
     numbered = with_schema(
         number_rows(distinct, DIMENSION_MEMBERS[name], DIMENSION_KEYS[name], rows=rows), DIMENSION_SCHEMAS[name]
-    ).persist()
-    numbered.count()  # a job over the cached members only; consumers then read the numbered rows
-    distinct.unpersist()
+    ).persist()  # filled by the first query that uses it, from the cached members
     return Dimension(name, numbered, rows)
 
 
