@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import byte_bpe, chat, sharding, simhash, token_records
+from roomledger.llm import byte_bpe, chat, sharding, simhash, token_records, toxicity
 from roomledger.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -37,11 +37,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
-QUERIES = (op3_byte_bpe, op4_chat_format, op6_token_records, op7_simhash, op10_sharding)
+QUERIES = (op3_byte_bpe, op4_chat_format, op6_token_records, op7_simhash, op8_toxicity, op10_sharding)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

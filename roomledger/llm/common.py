@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomledger.session import spread
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id (long) and the text (null becomes empty): extra columns cannot clash later."""
+def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spread: bool = True) -> DataFrame:
+    """Only the id (long) and the text (null becomes empty): extra columns cannot clash later.
+
+    Where the scan has fewer splits than the cluster has cores (one small file), the rows are spread.
+    """
     df = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    return spread(df)
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def digest(column: Column) -> Column:

@@ -57,7 +57,7 @@ def shard_of(key: Column, shards: int) -> Column:
 
 def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard (the shard among ``shards + 1``)."""
-    rows = id_text(docs, id_col, text_col).select(
+    rows = id_text(docs, id_col, text_col, spread=False).select(
         "doc_id",
         (F.octet_length("text") + ROW_OVERHEAD).cast("long").alias("size"),
         F.crc32(F.col("text").cast("binary")).alias("text_crc32"),

@@ -116,7 +116,7 @@ def cores_of(chunk: str) -> tuple[str, ...]:
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, files: int | None = None) -> None:
     """Encode whole texts, append ``end_id`` to each and write the record files under ``path``."""
-    rows = id_text(docs).withColumn("_position", F.monotonically_increasing_id())
+    rows = id_text(docs, spread=False).withColumn("_position", F.monotonically_increasing_id())
     order = [F.col("doc_id").asc_nulls_first(), F.col("_position")]
     ranged = rows.repartitionByRange(files or default_parallelism(docs.sparkSession), *order)
 
