@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import byte_bpe, chat, sharding, simhash, token_records, toxicity
+from roomledger.llm import ann, byte_bpe, chat, licences, pii, sharding, simhash, token_records, toxicity
 from roomledger.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,6 +15,10 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 TEMPLATE_PROBE = "</s>[INST] ok [/INST]"
 
 
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
@@ -29,6 +33,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(probe)))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.token_records(table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
 
@@ -42,11 +50,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
-QUERIES = (op3_byte_bpe, op4_chat_format, op6_token_records, op7_simhash, op8_toxicity, op10_sharding)
+QUERIES = (op2_nn_descent, op3_byte_bpe, op4_chat_format, op5_pii, op6_token_records, op7_simhash, op8_toxicity, op9_licences, op10_sharding)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
