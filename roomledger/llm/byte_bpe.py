@@ -269,27 +269,17 @@ def codec_udf(path: str, pattern: str, emit):
     return run
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, ids (array of int): the real output of the encoder."""
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, digests of the ids and of the bytes decoded from them, and the ids if asked for."""
 
     def emit(rows: pd.DataFrame, ids: list[np.ndarray], codec: Codec) -> pd.DataFrame:
-        return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "ids": [i.astype(np.int32) for i in ids]})
-
-    return id_text(docs).mapInPandas(codec_udf(path, pattern, emit), "doc_id long, ids array<int>")
-
-
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, digests of the ids and of the bytes decoded from them."""
-
-    def emit(rows: pd.DataFrame, ids: list[np.ndarray], codec: Codec) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "doc_id": rows["doc_id"].astype("Int64").to_numpy(),
-                "n_tokens": [len(i) for i in ids],
-                "ids_sha256": [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
-                "decoded_sha256": [hashlib.sha256(b).hexdigest() for b in codec.decode(ids)],
-            }
-        )
-
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        out = {
+            "doc_id": rows["doc_id"].astype("Int64").to_numpy(),
+            "n_tokens": [len(i) for i in ids],
+            "ids_sha256": [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
+            "decoded_sha256": [hashlib.sha256(b).hexdigest() for b in codec.decode(ids)],
+        }
+        return pd.DataFrame(out | ({"ids": [i.astype(np.int32) for i in ids]} if with_ids else {}))
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return id_text(docs).mapInPandas(codec_udf(path, pattern, emit), schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import ann, byte_bpe, chat, licences, pii, sharding, simhash, token_records, toxicity
+from roomledger.llm import ann, byte_bpe, chat, decontaminate, licences, pii, sharding, simhash, token_records, toxicity
 from roomledger.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,6 +15,10 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 TEMPLATE_PROBE = "</s>[INST] ok [/INST]"
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
@@ -58,7 +62,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
-QUERIES = (op2_nn_descent, op3_byte_bpe, op4_chat_format, op5_pii, op6_token_records, op7_simhash, op8_toxicity, op9_licences, op10_sharding)
+QUERIES = (
+    op1_decontamination,
+    op2_nn_descent,
+    op3_byte_bpe,
+    op4_chat_format,
+    op5_pii,
+    op6_token_records,
+    op7_simhash,
+    op8_toxicity,
+    op9_licences,
+    op10_sharding,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

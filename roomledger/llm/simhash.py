@@ -64,14 +64,15 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
+    """doc_id, text_hash, fp (the fingerprint as a signed long); staged."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         found = np.fromiter((fingerprint(t, shingle) for t in texts), dtype=np.uint64, count=len(texts))
         return pd.Series(found.view(np.int64))
 
-    return id_text(docs).select("doc_id", of("text").alias("fp"))
+    rows = id_text(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), of("text").alias("fp"))
+    return stage(rows, "fingerprints")
 
 
 def ball(radius: int) -> np.ndarray:
@@ -179,7 +180,7 @@ def links(distinct: DataFrame, count: int, distance: int) -> DataFrame:
                     block = fps[codes == own].tobytes()
                     yield pd.DataFrame({"bucket": flip_codes ^ own, "block": [block] * len(flip_codes)})
 
-    def join(key, blocks: pd.DataFrame) -> pd.DataFrame:
+    def join(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
         fps = np.unique(np.frombuffer(b"".join(blocks["block"]), dtype=np.uint64))
         a, b = meet(fps, int(key[0]), bits, radius, distance)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
@@ -222,15 +223,35 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def rooted(marked: DataFrame, distance: int) -> DataFrame:
+    """fp, root: the component of each distinct fingerprint."""
+    distinct = stage(marked.select("fp").distinct(), "distinct")
+    roots = components(links(distinct, distinct.count(), distance))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """doc_id, fingerprint, component_id (the smallest doc_id that chains of links reach)."""
-    marked = stage(fingerprints(docs, shingle), "fingerprints")
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    edges = links(distinct.select("fp"), distinct.count(), distance)
-    roots = components(edges)
-    grouped = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    marked = fingerprints(docs, shingle)
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    grouped = rooted(marked, distance).join(least, "fp")
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = grouped.join(names, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+    """One document of each component, the one of the smallest id (then text hash), with all its columns.
+
+    Whole texts are shuffled only for rows that share id and text with another row.
+    """
+    marked = fingerprints(docs, shingle)
+    rows = marked.groupBy("fp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    ranked = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "copies")
+    least = rows.groupBy("fp").agg(F.min(ranked).alias("least")).join(rooted(marked, distance), "fp")
+    chosen = stage(least.groupBy("root").agg(F.min("least").alias("kept")).select("kept.*"), "kept")
+    same = docs["doc_id"].cast("long").eqNullSafe(chosen["doc_id"])
+    same &= F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == chosen["text_hash"]
+    single = docs.join(chosen.filter("copies = 1"), same, "left_semi")
+    repeated = docs.join(chosen.filter("copies > 1"), same, "left_semi")
+    return single.unionByName(repeated.dropDuplicates(["doc_id"]))
