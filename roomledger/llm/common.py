@@ -41,7 +41,7 @@ class Recent:
     def missing(self, keys: set) -> list:
         """Those of ``keys`` that neither generation has; the others are then in the young one."""
         absent = keys.difference(self.young)
-        again = absent.intersection(self.old) if self.old else set()
+        again = {key for key in absent if key in self.old}  # set.intersection would go through the whole dict
         self.young.update((k, self.old[k]) for k in again)
         return list(absent.difference(again))
 
