@@ -33,22 +33,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.llm.common import Recent, id_text, worker_cache
+from roomledger.llm.common import id_text, worker_cache
 from roomledger.session import stage
 
 TERMS = 1 << 16  # term 0 stands for tokens without letters or digits and has no weight
 RANK = 48
 WINDOW = 16
 HALF = WINDOW // 2
-MOST_COMMON = 0.02
+MOST_COMMON = 0.01
 COSINE = 0.4
-SHARED_TERMS = 0.45  # of a passage's words that must be the item's, for a candidate
+SHARED_TERMS = 0.55  # of a passage's words that must be the item's, for a candidate
 COVERED, PARAPHRASED = 0.8, 0.65
 ANSWER, ANSWER_COVERED = 0.25, 0.75
 LEAST_WORDS = 8
 SEED = 42
-CACHE_ENTRIES = 300_000
-CHUNK = 200_000  # words projected at once
+CACHE_ENTRIES = 600_000
+CHUNK = 8_000  # words projected at once; their rows fit into a processor's cache
 STRIP = ".,;:!?\"'()[]{}<>*_#|"
 
 
@@ -63,13 +63,22 @@ def term(token: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) % (TERMS - 1) + 1 if word else 0
 
 
-def terms_of(text: str, cache: Recent | None = None) -> np.ndarray:
+class Terms(dict):
+    """token -> term, found out at first use; emptied between batches when it has grown too large."""
+
+    def __missing__(self, token: str) -> int:
+        self[token] = found = term(token)
+        return found
+
+    def bounded(self) -> Terms:
+        if len(self) > CACHE_ENTRIES:
+            self.clear()
+        return self
+
+
+def terms_of(text: str, cache: Terms | None = None) -> np.ndarray:
     tokens = text.split()
-    if cache is None:
-        return np.array([term(t) for t in tokens], dtype=np.uint16)
-    known = cache.fresh()
-    for token in cache.missing(set(tokens)):
-        known[token] = term(token)
+    known = Terms() if cache is None else cache
     return np.fromiter(map(known.__getitem__, tokens), dtype=np.uint16, count=len(tokens))
 
 
@@ -78,8 +87,9 @@ def tokenised(docs: DataFrame) -> DataFrame:
     rows = id_text(docs).select(F.xxhash64("doc_id", "text").alias("key1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("key2"), "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = worker_cache(("decontaminate",), lambda: Recent(CACHE_ENTRIES))
+        known = worker_cache(("decontaminate",), Terms)
         for frame in frames:
+            cache = known.bounded()
             yield pd.DataFrame(
                 {"key1": frame["key1"], "key2": frame["key2"], "terms": [terms_of(t, cache).tobytes() for t in frame["text"]]}
             )
@@ -122,16 +132,17 @@ class Passages:
         self.weights = weights[self.flat]
         some = np.flatnonzero(self.weights)  # most words are too common or too rare to have a weight
         self.terms, self.weights = self.flat[some], self.weights[some]
-        self.block = np.searchsorted(self.start, some, side="right") - 1
+        self.block = np.repeat(np.arange(len(self.start)), np.diff(np.append(self.start, len(self.flat))))[some]
+        self.place = (some - self.start[self.block]).astype(np.int8)
 
     def sums(self, rows: np.ndarray) -> np.ndarray:
         """Per passage: the weighted sum of its words' rows."""
         out = np.zeros((len(self.start), rows.shape[1]), dtype=np.float32)
-        for a in range(0, len(self.terms), CHUNK):
-            block = self.block[a : a + CHUNK]
-            first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-            values = rows[self.terms[a : a + CHUNK]] * self.weights[a : a + CHUNK, None]
-            out[block[first]] += np.add.reduceat(values, first, axis=0)
+        for place in range(HALF):  # a block has one word at each place, so no row is added to twice at once
+            at = np.flatnonzero(self.place == place)
+            for a in range(0, len(at), CHUNK):
+                some = at[a : a + CHUNK]
+                out[self.block[some]] += rows[self.terms[some]] * self.weights[some, None]
         return self.paired(out)
 
     def paired(self, blocks: np.ndarray) -> np.ndarray:
@@ -221,7 +232,7 @@ class Items:
     def segments(self, space: Space) -> tuple[np.ndarray, np.ndarray]:
         owner, vectors = [], []
         for i, terms in enumerate(self.terms):
-            starts = {*range(0, max(1, len(terms) - HALF), HALF), max(0, len(terms) - WINDOW)}
+            starts = {*range(0, max(1, len(terms) - HALF), WINDOW), max(0, len(terms) - WINDOW)}
             for a in sorted(starts):
                 part = terms[a : a + WINDOW]
                 vector = (space.vectors[part] * space.weights[part, None]).sum(axis=0)
