@@ -54,21 +54,20 @@ def mean2(col: Column) -> Column:
     return F.round(F.sum(col.cast("double")) / F.nullif(F.count(col), F.lit(0)), 2)
 
 
-def cents(col: Column) -> Column:
-    """A money amount as whole cents (bigint), half away from zero."""
-    return F.round(col * 100).cast("bigint")
+def exact(col: Column) -> Column:
+    """A money amount as a decimal with ten fractional digits."""
+    return col.cast("decimal(28,10)")
 
 
 def money_sum(col: Column) -> Column:
-    """Sum of a money column in exact integer cents, returned as double currency units.
+    """Exact sum of a money column, returned as double currency units.
 
     A double sum depends on the order rows arrive in, so the same data could give results that
-    differ in the last bits from run to run; a bigint sum of cents does not, and stays on the
-    fast (non-decimal) aggregation path.
+    differ in the last bits from run to run; a decimal sum does not. Amounts are not rounded.
     """
-    return F.sum(cents(col)).cast("double") / F.lit(100.0)
+    return F.sum(exact(col)).cast("double")
 
 
 def money_mean2(col: Column) -> Column:
-    """Mean of a money column (exact cent sum / count), rounded to 2 decimals."""
-    return F.round(F.sum(cents(col)).cast("double") / F.nullif(F.count(col), F.lit(0)) / F.lit(100.0), 2)
+    """Mean of a money column (exact sum / count); only the result is rounded, to 2 decimals."""
+    return F.round(F.sum(exact(col)).cast("double") / F.nullif(F.count(col), F.lit(0)), 2)

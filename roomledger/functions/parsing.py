@@ -46,11 +46,6 @@ def whole_number(number: Column, name: str = "value") -> Column:
     )
 
 
-def to_whole_number(col: Column, name: str = "value") -> Column:
-    """Text -> bigint through double, so ``'1.0'`` is 1 and ``'abc'`` is NULL."""
-    return whole_number(to_double(col), name)
-
-
 def month_number(month_name: Column) -> Column:
     """English month name -> 1..12; any other text (or NULL) -> NULL."""
     expr = F.when(F.lit(False), F.lit(None))

@@ -156,11 +156,3 @@ def build_fact(silver: DataFrame, dims: dict[str, Dimension], partitions: int |
     rows = fact_rows(silver, dims, carry=("arrival_date", "hotel"))
     numbered = number_large(rows, ascending(booking_order()), "booking_key", partitions)
     return numbered.select(F.col("booking_key").cast("bigint"), *FACT_COLUMNS[1:])
-
-
-def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
-    """M8: all five dimensions and the fact."""
-    dims = build_dimensions(silver)
-    gold = {name: dim.df for name, dim in dims.items()}
-    gold["fact_booking"] = build_fact(silver, dims)
-    return gold

@@ -2,7 +2,7 @@
 
 Every view is a ``groupBy().agg()`` (partial aggregation map-side, so a hot group value costs one
 row per task before the shuffle) over the fact joined to broadcast dimensions. Money is summed in
-exact integer cents (see functions/measures.py); rates are recomputed from counts at every grain,
+exact decimals (see functions/measures.py); rates are recomputed from counts at every grain,
 never averaged.
 """
 

@@ -9,6 +9,7 @@ not dates, and period slicers reach it through a semi-join on the (small) date d
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,9 @@ from roomledger.operators import silver as S
 from roomledger.operators import views as V
 from roomledger.schema import DIMENSION_SCHEMAS
 from roomledger.sources.csv import read_raw_csv, write_csv
-from roomledger.sources.tables import read_current, replace_table
+from roomledger.sources.tables import new_version, published, publish, read_current, replace_table, version_path, write_version
+
+GOLD = "gold"  # name of the manifest that publishes a gold run
 
 
 @dataclass
@@ -45,21 +48,27 @@ def check_silver(spark: SparkSession, warehouse: str, enforce: bool = True) -> D
 
 
 def run_gold(spark: SparkSession, warehouse: str) -> dict[str, str]:
-    """M8: dimensions before the fact (the fact reads their keys); each published as it is done."""
+    """M8: dimensions before the fact (the fact reads their keys), published as one.
+
+    The manifest that names all six versions is appended last: keys are numbered anew in each run,
+    so a reader must never join dimensions of one run to the fact of another.
+    """
     silver = read_current(spark, warehouse, "silver")
     dims = G.build_dimensions(silver)
-    versions = {name: replace_table(dims[name].df, warehouse, name) for name in DIMENSION_SCHEMAS}
-    versions["fact_booking"] = replace_table(G.build_fact(silver, dims), warehouse, "fact_booking")
+    versions = dict.fromkeys((*DIMENSION_SCHEMAS, "fact_booking"), new_version())
+    for name in DIMENSION_SCHEMAS:
+        write_version(dims[name].df, warehouse, name, versions[name])
+    write_version(G.build_fact(silver, dims), warehouse, "fact_booking", versions["fact_booking"])
+    publish(spark, warehouse, GOLD, json.dumps(versions))
     return versions
 
 
 def load_gold(spark: SparkSession, warehouse: str) -> tuple[DataFrame, dict[str, G.Dimension]]:
-    """The published fact and dimensions (with row counts for the broadcast checks)."""
-    dims = {}
-    for name in DIMENSION_SCHEMAS:
-        df = read_current(spark, warehouse, name)
-        dims[name] = G.Dimension(name, df, df.count())
-    return read_current(spark, warehouse, "fact_booking"), dims
+    """Fact and dimensions of the newest complete run (with row counts for the broadcast checks)."""
+    versions = json.loads(published(spark, warehouse, GOLD))
+    read = {name: spark.read.parquet(version_path(warehouse, name, version)) for name, version in versions.items()}
+    dims = {name: G.Dimension(name, read[name], read[name].count()) for name in DIMENSION_SCHEMAS}
+    return read["fact_booking"], dims
 
 
 def check_gold(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:

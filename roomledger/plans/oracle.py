@@ -9,7 +9,7 @@ the checks. Dialect notes (Spark vs DuckDB) that the SQL spells out:
 * integer sums are cast to BIGINT (DuckDB widens to HUGEINT), keys to the declared widths;
 * Spark rounds a double half-up on its shortest decimal text; DuckDB rounds the binary value, so
   rounded doubles go through ``DECIMAL(38,10)`` here to round the same decimal text;
-* money is summed in whole cents, as the Spark side does.
+* money is summed as exact decimals; only means are rounded.
 """
 
 from __future__ import annotations
@@ -56,16 +56,12 @@ def mean2(x: str) -> str:
     return r2(f"SUM(CAST({x} AS DOUBLE)) / NULLIF(COUNT({x}), 0)")
 
 
-def cents(x: str) -> str:
-    return f"CAST(ROUND({x} * 100) AS BIGINT)"
-
-
 def money_sum(x: str) -> str:
-    return f"CAST(SUM({cents(x)}) AS DOUBLE) / 100.0"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(28,10))) AS DOUBLE)"
 
 
 def money_mean2(x: str) -> str:
-    return r2(f"CAST(SUM({cents(x)}) AS DOUBLE) / NULLIF(COUNT({x}), 0) / 100.0")
+    return r2(f"CAST(SUM(CAST({x} AS DECIMAL(28,10))) AS DOUBLE) / NULLIF(COUNT({x}), 0)")
 
 
 def _whole_number(x: str) -> str:
@@ -126,6 +122,7 @@ adapted AS (
     CASE nk % 4 WHEN 0 THEN 'Transient' WHEN 1 THEN 'Contract' WHEN 2 THEN 'Transient-Party' ELSE 'Group' END AS customer_type,
     CASE WHEN k % 1009 = 3 THEN '-6.38' WHEN k % 1213 = 7 THEN '5400.0' WHEN k % 907 = 5 THEN '0.0'
          WHEN k % 1999 = 6 THEN ''
+         WHEN k % 97 = 13 THEN CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') || '5'
          ELSE CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') END AS adr,
     CAST(k % 2 AS VARCHAR) AS required_car_parking_spaces,
     CAST(k % 6 AS VARCHAR) AS total_of_special_requests,

@@ -97,9 +97,6 @@ def _raw_type(name: str) -> T.DataType:
     return T.StringType()
 
 
-# Every raw column is read as text; types are applied by the silver stage.
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
-
 SILVER_SCHEMA = T.StructType(
     [T.StructField(c, _raw_type(c), True) for c in RAW_COLUMNS]
     + [

@@ -7,7 +7,6 @@ folder of our own is created only when that setting is missing and Spark runs in
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -93,8 +92,3 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
-def scratch_dir(prefix: str = "roomledger-") -> str:
-    """A new local scratch folder (tests only)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))

@@ -10,20 +10,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roomledger.functions.parsing import clean_column_name, missing_tokens, null_if_missing
 from roomledger.schema import RAW_COLUMNS
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+BROKEN = "_broken_record"
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Raw bookings from CSV file(s) with a header row; every column as text.
 
-    Without a schema and without inference Spark reads all columns as strings and takes the
-    names from the header (first line only, not a pass over the data). Names are cleaned (B1) and
-    columns are then selected by name, so the file's column order does not matter.
+    The first header gives the names (no inference pass); a file whose header differs from it is
+    refused, as its columns would get other names. A row with too many or too few fields stops the
+    job. So does a quoted field with a line break, unless ``multi_line`` is set: then it is read
+    right, but a file is one task, where otherwise files are split. Names are cleaned (B1) and columns are
+    selected by name, so their order does not matter.
     """
-    df = spark.read.option("header", "true").option("quote", '"').option("escape", '"').csv(path)
-    df = df.toDF(*[clean_column_name(c) for c in df.columns])
+    options = {"header": "true", "quote": '"', "escape": '"', "multiLine": str(multi_line).lower()}
+    names = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in (*names, BROKEN)])
+    df = spark.read.options(
+        **options, enforceSchema="false", columnNameOfCorruptRecord=BROKEN, columnPruning="false"
+    ).csv(path, schema=schema)
+    message = F.concat(F.lit("CSV row with other fields than the header: "), F.substring(BROKEN, 1, 200))
+    df = df.filter(F.when(F.col(BROKEN).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    df = df.drop(BROKEN).toDF(*[clean_column_name(c) for c in names])
     missing = [c for c in RAW_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"raw file lacks columns: {missing}")

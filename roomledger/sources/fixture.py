@@ -99,6 +99,7 @@ def raw_bookings_from_tables(orders: DataFrame, customer: DataFrame, nation: Dat
         "customer_type": _pick(F.col("c_nationkey") % 4, CUSTOMER_TYPES),
         "adr": F.when(k % 1009 == 3, F.lit("-6.38")).when(k % 1213 == 7, F.lit("5400.0"))
         .when(k % 907 == 5, F.lit("0.0")).when(k % 1999 == 6, F.lit(""))
+        .when(k % 97 == 13, F.concat(_s(F.floor(cents / 100)), F.lit("."), F.lpad(_s(cents % 100), 2, "0"), F.lit("5")))
         .otherwise(F.concat(_s(F.floor(cents / 100)), F.lit("."), F.lpad(_s(cents % 100), 2, "0"))),
         "required_car_parking_spaces": _s(k % 2),
         "total_of_special_requests": _s(k % 6),

@@ -7,6 +7,7 @@ which is not atomic). Versions live under ``<root>/<table>/v=<run id>``.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,40 +25,42 @@ def new_version() -> str:
     return uuid.uuid4().hex[:12]
 
 
-def write_version(df: DataFrame, root: str, table: str, version: str, partition_by: tuple[str, ...] = ()) -> str:
+def write_version(df: DataFrame, root: str, table: str, version: str) -> str:
     """Write one complete version of ``table``; returns its path. Nothing points to it yet."""
-    path = f"{root.rstrip('/')}/{table}/v={version}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    path = version_path(root, table, version)
+    df.write.mode("errorifexists").parquet(path)
     return path
 
 
-def publish(spark: SparkSession, root: str, table: str, version: str) -> None:
-    """Point ``table`` at ``version`` (a one-row text file, replaced in one small write)."""
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        f"{root.rstrip('/')}/{table}/{POINTER}"
+def version_path(root: str, table: str, version: str) -> str:
+    return f"{root.rstrip('/')}/{table}/v={version}"
+
+
+def publish(spark: SparkSession, root: str, name: str, content: str) -> None:
+    """Append one pointer line to ``name``: nothing is deleted, so a reader always finds the old or the new one."""
+    line = f"{time.time_ns():020d} {content}"
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(
+        f"{root.rstrip('/')}/{name}/{POINTER}"
     )
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> str:
-    row = spark.read.text(f"{root.rstrip('/')}/{table}/{POINTER}").first()
-    if row is None:
-        raise FileNotFoundError(f"table {table} has no published version under {root}")
-    return row[0]
+def published(spark: SparkSession, root: str, name: str) -> str:
+    """What the newest pointer line of ``name`` says."""
+    newest = spark.read.text(f"{root.rstrip('/')}/{name}/{POINTER}").agg(F.max("value")).first()[0]
+    if newest is None:
+        raise FileNotFoundError(f"{name} has not been published under {root}")
+    return newest.split(" ", 1)[1]
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The published version of ``table`` (the silver/gold scan, A5)."""
-    version = current_version(spark, root, table)
-    return spark.read.parquet(f"{root.rstrip('/')}/{table}/v={version}")
+    return spark.read.parquet(version_path(root, table, published(spark, root, table)))
 
 
-def replace_table(df: DataFrame, root: str, table: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Full reload of ``table``: write a new version, then switch the pointer to it."""
+def replace_table(df: DataFrame, root: str, table: str) -> str:
+    """Full reload of ``table``: write a new version, then point to it."""
     version = new_version()
-    write_version(df, root, table, version, partition_by)
+    write_version(df, root, table, version)
     publish(df.sparkSession, root, table, version)
     return version
 

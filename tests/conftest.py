@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -64,3 +65,8 @@ def raw_frame(spark, rows: list[dict]):
     data = [tuple({**BASE_ROW, **r}[c] for c in RAW_COLUMNS) for r in rows]
     schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
     return spark.createDataFrame(data, schema)
+
+
+def scratch_dir(prefix: str = "roomledger-") -> str:
+    """A new local scratch folder."""
+    return tempfile.mkdtemp(prefix=prefix)

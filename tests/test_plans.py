@@ -94,7 +94,7 @@ def test_booking_keys_do_not_depend_on_input_order(spark, gold):
 
 def test_pipeline_end_to_end(spark):
     from roomledger.plans import medallion as M
-    from roomledger.session import scratch_dir
+    from conftest import scratch_dir
     from roomledger.sources.csv import write_csv
 
     root = scratch_dir()

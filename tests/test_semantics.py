@@ -16,7 +16,7 @@ from roomledger.operators import silver as S
 from roomledger.operators import views as V
 from roomledger.operators.numbering import ascending, number_large, number_small
 from roomledger.schema import SILVER_SCHEMA
-from roomledger.session import scratch_dir
+from conftest import scratch_dir
 from roomledger.sources.csv import normalise_missing, read_raw_csv, write_csv
 from roomledger.sources.tables import read_current, replace_table
 
