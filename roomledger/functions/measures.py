@@ -70,4 +70,5 @@ def money_sum(col: Column) -> Column:
 
 def money_mean2(col: Column) -> Column:
     """Mean of a money column (exact sum / count); only the result is rounded, to 2 decimals."""
-    return F.round(F.sum(exact(col)).cast("double") / F.nullif(F.count(col), F.lit(0)), 2)
+    count = F.nullif(F.count(col), F.lit(0)).cast("decimal(20,0)")
+    return F.round(F.sum(exact(col)) / count, 2).cast("double")

@@ -61,7 +61,10 @@ def money_sum(x: str) -> str:
 
 
 def money_mean2(x: str) -> str:
-    return r2(f"CAST(SUM(CAST({x} AS DECIMAL(28,10))) AS DOUBLE) / NULLIF(COUNT({x}), 0)")
+    # Rounded half away from zero in whole numbers: DuckDB divides decimals as doubles.
+    total = f"SUM(CAST(CAST({x} AS DECIMAL(28,10)) * 10000000000 AS HUGEINT))"
+    unit = f"(NULLIF(COUNT({x}), 0) * 10000000000::HUGEINT)"
+    return f"CAST(sign({total}) * ((abs({total}) * 200 + {unit}) // (2 * {unit})) AS DOUBLE) / 100.0"
 
 
 def _whole_number(x: str) -> str:

@@ -40,4 +40,4 @@ def test_entry_is_the_overview(spark):
     assert (r.total_bookings, r.canceled_bookings, r.confirmed_bookings) == (1506, 589, 916)
     assert (r.cancellation_rate, r.total_guests, r.total_nights) == (39.11, 5851, 4494)
     assert (r.avg_nights_per_booking, r.avg_lead_time, r.avg_adr) == (2.98, 199.26, 248.92)
-    assert (r.total_estimated_revenue, r.avg_revenue_per_booking) == (1117885.34, 742.78)
+    assert (r.total_estimated_revenue, r.avg_revenue_per_booking) == (1117885.585, 742.78)
