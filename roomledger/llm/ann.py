@@ -324,7 +324,10 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by ``every``."""
     nodes = nodes_of(vectors, k)
-    graph = build(nodes, nodes.count())
+    count = nodes.count()
+    if not count:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    graph = build(nodes, count)
     asking = usable(vectors).filter(F.col("vec_id") % every == 0)
     own = asking.select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("h1"), F.xxhash64(F.reverse("v"), F.lit(1)).alias("h2"))
     keyed = nodes.select("node", "members", F.xxhash64("v").alias("h1"), F.xxhash64(F.reverse("v"), F.lit(1)).alias("h2"))

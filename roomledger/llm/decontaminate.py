@@ -3,7 +3,8 @@
 1. Texts become sequences of term numbers (16-bit hashes of lower-cased words without surrounding
    punctuation), written once to the shared folder.
 2. Document frequencies over all documents and benchmark items give the TF-IDF weights; terms in more
-   than ``MOST_COMMON`` of the documents, or in one text only, have weight zero.
+   than ``MOST_COMMON`` of the documents, or in one text only, have weight zero, except the rarer half of
+   each item's terms, so that every item can be found.
 3. Passages are windows of ``WINDOW`` words, one every half window, over whole texts. A randomised SVD of
    the passage-term matrix A (rows scaled to length one) gives the latent space: each task adds up its
    part of A'AW for a fixed random W, the parts are summed by term in one aggregation, and the driver
@@ -194,6 +195,9 @@ def latent_space(tokens: DataFrame, items: list[np.ndarray]) -> Space:
     for item in items:
         counts[np.unique(item)] += 1
     known = (counts >= 2) & (counts <= max(2.0, MOST_COMMON * documents))
+    for item in items:  # an item of common words only keeps the rarer half of them
+        own = np.unique(item)
+        known[own[np.argsort(counts[own], kind="stable")][: max(8, len(own) // 2)]] = True
     known[0] = False
     weights = np.where(known, np.log((documents + 1) / (counts + 1)), 0).astype(np.float32)
     random = np.random.default_rng(SEED).normal(size=(TERMS, RANK)).astype(np.float32)

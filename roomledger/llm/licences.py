@@ -40,14 +40,29 @@ GRID = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
 
 def words(text: Column) -> Column:
-    """Lower-cased words: runs of letters and digits, and of dots and hyphens between them."""
-    cleaned = F.split(F.lower(text), "[^\\p{L}\\p{N}.-]+|[.-]+(?![\\p{L}\\p{N}])|(?<![\\p{L}\\p{N}])[.-]+")
-    return F.filter(cleaned, lambda w: w != "")
+    """Lower-cased runs of letters and digits."""
+    return F.array_remove(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), "")
+
+
+def pairs(tokens: Column, combine) -> Column:
+    """``combine`` of each token and the next one."""
+    after = F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))
+    return F.slice(F.zip_with(tokens, after, combine), 1, F.greatest(F.size(tokens) - 1, F.lit(0)))
 
 
 def bigrams(tokens: Column) -> Column:
-    pairs = F.zip_with(tokens, F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.slice(pairs, 1, F.greatest(F.size(tokens) - 1, F.lit(0)))
+    return pairs(tokens, lambda a, b: F.concat_ws(" ", a, b))
+
+
+def hashed(gram: Column) -> Column:
+    """The number that stands for an n-gram given as text."""
+    parts = F.split(gram, " ")
+    return F.when(F.size(parts) == 2, F.xxhash64(F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))).otherwise(F.xxhash64(gram))
+
+
+def hashed_grams(tokens: Column) -> Column:
+    """The numbers of all unigrams and bigrams, without making the bigrams' strings."""
+    return F.concat(F.transform(tokens, lambda w: F.xxhash64(w)), pairs(tokens, lambda a, b: F.xxhash64(a, b)))
 
 
 def grams(tokens: Column) -> Column:
@@ -100,7 +115,7 @@ class Model:
         rows = [(gram, weights) for gram, weights in self.weights.items() if gram]
         known = spark.createDataFrame(rows, "gram string, weights array<double>")
         template_grams = templates(spark).select("gram").distinct()
-        return known.join(template_grams, "gram", "full").select(F.xxhash64("gram").alias("gram"), "weights").coalesce(1)
+        return known.join(template_grams, "gram", "full").select(hashed(F.col("gram")).alias("gram"), "weights").coalesce(1)
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -145,10 +160,10 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     texts = id_text(docs)
     keyed = texts.select(*keys(), F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    found = keyed.select("key1", "key2", "paragraph", F.explode(grams(words(F.col("line")))).alias("word"))
+    tokens = keyed.select("key1", "key2", "paragraph", words(F.col("line")).alias("tokens"))
+    found = tokens.select("key1", "key2", "paragraph", F.explode(hashed_grams(F.col("tokens"))).alias("gram"))
     known = F.broadcast(model.table(spark))  # bounded by the examples
-    hashed = found.select("key1", "key2", "paragraph", F.xxhash64("word").alias("gram"))
-    present = hashed.join(known.select("gram"), "gram").distinct()
+    present = found.join(known.select("gram"), "gram").distinct()
     weighted = present.join(known, "gram")
     sums = [F.sum(F.get("weights", F.lit(i))) + constant for i, constant in enumerate(model.weights[""])]
     scored = weighted.groupBy("key1", "key2", "paragraph").agg(
@@ -159,7 +174,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     scored = scored.select(
         "key1", "key2", "paragraph", family.alias("family"), best(F.col("p")).alias("probability"), F.element_at("p", -1).alias("none")
     )
-    own = F.broadcast(templates(spark).withColumn("gram", F.xxhash64("gram")))  # bounded by the templates
+    own = F.broadcast(templates(spark).withColumn("gram", hashed(F.col("gram"))))  # bounded by the templates
     hits = present.join(own, "gram").groupBy("key1", "key2", "paragraph", "family", "template")
     alike = hits.agg((F.count(F.lit(1)) / F.first("size")).alias("similarity"))
     alike = alike.groupBy("key1", "key2", "paragraph", "family").agg(F.max("similarity").alias("similarity"))

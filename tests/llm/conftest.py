@@ -1,0 +1 @@
+"""The session fixture comes from ``tests/conftest.py``."""
