@@ -37,8 +37,8 @@ from roomledger.llm.common import Recent, id_text, worker_cache
 MAX_STEPS = 48
 SHORT_BYTES = 64  # longer pieces go through LONG_SQL
 BATCH_BYTES = 1_000_000  # bytes of pieces in one recursive query
-BATCH_CHARS = 6_000_000  # characters of text handled at once
-CACHE_ENTRIES = 250_000  # of each generation of each cache
+BATCH_CHARS = 2_000_000  # characters of text handled at once
+CACHE_ENTRIES = 150_000  # of each generation of each cache
 
 #: One contraction per piece and step, for the short pieces that make up nearly all text.
 SHORT_SQL = f"""
