@@ -2,12 +2,13 @@
 
 Two zstandard dictionaries are trained from labelled texts. Both end in the same content, chosen by
 zstandard's own trainer from ordinary windows; the toxic one begins with the word beginnings that
-toxic texts use far more than ordinary ones (by a likelihood ratio of document frequencies). A window
+toxic texts use far more than ordinary ones, by a likelihood ratio of the texts that have them at all and
+of the texts that have them often (windows with one of them stay out of the shared content). A window
 of ordinary words then compresses to the same length with either, and each toxic expression saves
 bytes with one of them only. A whole text is cut into windows of ``WINDOW`` words; statistics of the
-windows' differences in compressed length (mean, maximum, mean of the three largest, share of windows
-that save at least ``SAVED`` bytes) are calibrated to a probability by logistic regression on the same
-labelled texts.
+windows' differences in compressed length (mean, maximum, mean of the three largest, shares of windows
+that save at least so many bytes, also weighted by the number of windows) are calibrated to a probability
+by logistic regression on the same labelled texts. Near copies count once in the fit.
 
 Fitting uses a bounded sample, chosen by a hash of the id: at most about ``SAMPLE[c]`` texts of class c, none
 over ``LONGEST`` characters. Every text is scored, whole. Labels of held-out rows (crc32 of the id as
@@ -21,7 +22,10 @@ any); repeated rows each give a row; an empty table gives an empty result; extra
 
 from __future__ import annotations
 
+import heapq
 import math
+import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,12 +42,14 @@ THRESHOLD = 0.3
 SAMPLE = {0: 6000, 1: 2000}
 LONGEST = 50_000
 WINDOW = 8
-SAVED = 3
+SAVED = (2, 4, 6)  # bytes
 SHARED_BYTES = 12_000
+SKETCH = 16  # hashes that stand for a text when near copies are left out of the fit
 SPECIFIC = 48  # word beginnings in the toxic dictionary's own part
-PREFIXES = (4, 5, 6, 7)
-LEAST_LOG_ODDS = 2.5
-LEAST_G = 30.0  # likelihood-ratio statistic; rare word beginnings of one class are mostly chance below it
+PREFIXES = (4, 5, 6, 7, 8)
+LEAST_RATE = 0.005  # a text uses a word beginning if at least this share of its words has it
+LEAST_LOG_ODDS = 2.0
+LEAST_G = 24.0  # likelihood-ratio statistic; rare word beginnings of one class are mostly chance below it
 SEARCH = {"window_log": 17, "hash_log": 16, "chain_log": 16, "search_log": 7, "min_match": 5, "target_length": 32}
 
 
@@ -53,49 +59,87 @@ def windows(text: str) -> list[bytes]:
     return [b" " + b" ".join(words[i : i + WINDOW]) + b" " for i in range(0, len(words), WINDOW)] or [b"  "]
 
 
-def beginnings(text: str) -> set[bytes]:
-    """The text's word beginnings, each with the space before the word."""
-    words = {b" " + w for w in text.lower().encode("utf-8", "replace").split()}
-    return {w[: n + 1] for w in words for n in PREFIXES if len(w) > n}
+def beginnings(text: str) -> tuple[set[bytes], set[bytes]]:
+    """The text's word beginnings, each with the space before the word: all of them, and the frequent ones.
 
-
-def typical(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    """Word beginnings over-represented in toxic texts, the strongest last (nearest to the shared part)."""
-    in_toxic, in_ordinary = Counter(), Counter()
-    for text in toxic:
-        in_toxic.update(beginnings(text))
-    for text in ordinary:
-        in_ordinary.update(beginnings(text))
-    share = len(toxic) / (len(toxic) + len(ordinary))
-    ranked: dict[bytes, float] = {}
-    for part, n in in_toxic.items():
-        other = in_ordinary[part]
-        odds = math.log((n + 0.5) / (len(toxic) + 1)) - math.log((other + 0.5) / (len(ordinary) + 1))
+    Long texts hold nearly every beginning by chance; those in ``LEAST_RATE`` of the words are no chance.
+    """
+    words = text.lower().encode("utf-8", "replace").split()
+    seen = Counter()
+    for word, times in Counter(words).items():
+        for n in PREFIXES:
+            if len(word) >= n:
+                seen[b" " + word[:n]] += times
+    return set(seen), {part for part, times in seen.items() if times >= LEAST_RATE * len(words)}
+
+
+def over_represented(toxic: Counter, ordinary: Counter, n_toxic: int, n_ordinary: int) -> dict[bytes, float]:
+    """Beginnings in far more of the toxic texts than of the ordinary ones -> likelihood ratio."""
+    share, found = n_toxic / (n_toxic + n_ordinary), {}
+    for part, n in toxic.items():
+        other = ordinary[part]
+        odds = math.log((n + 0.5) / (n_toxic + 1)) - math.log((other + 0.5) / (n_ordinary + 1))
         if odds >= LEAST_LOG_ODDS:
             surprise = n * math.log(n / ((n + other) * share))
             surprise += other * math.log(other / ((n + other) * (1 - share))) if other else 0.0
             if 2 * surprise >= LEAST_G:
-                ranked[part] = surprise
+                found[part] = surprise
+    return found
+
+
+def typical(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """Word beginnings over-represented in toxic texts, the strongest last (nearest to the shared part)."""
+    counts = [[Counter(), Counter()], [Counter(), Counter()]]
+    for label, texts in enumerate((toxic, ordinary)):
+        for text in texts:
+            for kind, parts in enumerate(beginnings(text)):
+                counts[kind][label].update(parts)
+    ranked: dict[bytes, float] = {}
+    for in_toxic, in_ordinary in counts:
+        for part, surprise in over_represented(in_toxic, in_ordinary, len(toxic), len(ordinary)).items():
+            ranked[part] = max(surprise, ranked.get(part, 0.0))
     # A beginning that nearly always goes on the same way is left to its longer form.
-    longer = Counter()
+    in_toxic, longer = counts[0][0], Counter()
     for part in ranked:
         for size in range(5, len(part)):
             longer[part[:size]] = max(longer[part[:size]], in_toxic[part])
-    kept = [p for p in ranked if longer[p] < 0.8 * in_toxic[p]]
+    whole = {p for p in ranked if longer[p] < 0.8 * in_toxic[p]}
+    # A longer form that says no more than a shorter one only takes room.
+    kept = [p for p in whole if not any(p[:n] in whole and ranked[p[:n]] >= ranked[p] for n in range(5, len(p)))]
     return sorted(kept, key=lambda p: (ranked[p], p))[-SPECIFIC:]
 
 
-def shared_content(ordinary: list[str]) -> bytes:
-    """Dictionary content that zstandard's trainer chooses from ordinary windows."""
+def shared_content(ordinary: list[str], toxic_parts: list[bytes]) -> bytes:
+    """Dictionary content that zstandard's trainer chooses from ordinary windows without toxic beginnings."""
     import zstandard
 
-    samples = [w for text in ordinary for w in windows(text)][:60_000]
+    unlike = re.compile(b"|".join((re.escape(p.strip()) for p in toxic_parts)) or b"(?!)")
+    samples = [w for text in ordinary for w in windows(text) if not unlike.search(w)][:60_000]
     try:
         return zstandard.train_dictionary(SHARED_BYTES + 4096, samples, k=64, d=6).as_bytes()[-SHARED_BYTES:]
     except zstandard.ZstdError:  # the trainer refuses very small samples; their own text is then the content
         return b"".join(samples)[-SHARED_BYTES:]
 
 
+def without_near_copies(texts: list[str]) -> list[str]:
+    """The texts, one of each group of near copies: a hundred copies of a text say no more than one.
+
+    A text's sketch is the ``SKETCH`` smallest hashes of its three-word shingles; one that shares a quarter of
+    them or more with a text kept before is left out.
+    """
+    kept, owner = [], {}
+    for text in texts:
+        words = text.lower().encode("utf-8", "replace").split()
+        shingles = {zlib.crc32(b" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))}
+        sketch = heapq.nsmallest(SKETCH, shingles)
+        alike = Counter(other for h in sketch for other in owner.get(h, ()))
+        if not alike or max(alike.values()) < len(sketch) / 4:
+            for h in sketch:
+                owner.setdefault(h, []).append(len(kept))
+            kept.append(text)
+    return kept
+
+
 @dataclass
 class Model:
     """Both dictionaries and the calibration; plain data, sent to the workers."""
@@ -127,7 +171,9 @@ class Compressors:
         toxic, ordinary = self.toxic, self.ordinary
         saved = np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(text)], dtype=np.float64)
         saved.sort()
-        return saved.mean(), saved[-1], saved[-3:].mean(), (saved >= SAVED).mean(), math.log(len(saved))
+        shares = [(saved >= least).mean() for least in SAVED]
+        evidence = [share * math.sqrt(len(saved)) for share in shares]  # a share in many windows is less likely chance
+        return saved.mean(), saved[-1], saved[-3:].mean(), *shares, *evidence, math.log(len(saved))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
@@ -145,11 +191,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50)
 
 
 def fit(texts: list[str], labels: list[int]) -> Model:
-    pairs = sorted(set(zip(texts, labels, strict=True)))  # copies of a text count once
-    toxic, ordinary = [t for t, y in pairs if y], [t for t, y in pairs if not y]
+    pairs = sorted(set(zip(texts, labels, strict=True)))
+    toxic = without_near_copies([t for t, y in pairs if y])
+    ordinary = without_near_copies([t for t, y in pairs if not y])
     nothing = np.zeros(0)
     if not toxic or not ordinary:
-        share = len(toxic) / max(1, len(pairs))
+        share = len(toxic) / max(1, len(toxic) + len(ordinary))
         return Model(b"", b"", nothing, nothing, nothing, share)
     # The calibration sees differences made with dictionaries from the other half of the texts.
     x, y = [], []
@@ -167,8 +214,9 @@ def fit(texts: list[str], labels: list[int]) -> Model:
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
     """A model with both dictionaries, not calibrated yet."""
-    shared, nothing = shared_content(ordinary), np.zeros(0)
-    return Model(b"".join(typical(toxic, ordinary)) + shared, shared, nothing, nothing, nothing)
+    parts = typical(toxic, ordinary)
+    shared, nothing = shared_content(ordinary, parts), np.zeros(0)
+    return Model(b"".join(parts) + shared, shared, nothing, nothing, nothing)
 
 
 def probabilities(model: Model, compressors: Compressors | None, texts: list[str]) -> np.ndarray:
