@@ -49,6 +49,8 @@ ANSWER, ANSWER_COVERED = 0.25, 0.75
 LEAST_WORDS = 8
 SEED = 42
 CACHE_ENTRIES = 600_000
+BLOCK = 1_000_000  # cosines computed at once
+MOST_KEYS = 2_000_000  # of 16 bytes, broadcast at most
 CHUNK = 8_000  # words projected at once; their rows fit into a processor's cache
 STRIP = ".,;:!?\"'()[]{}<>*_#|"
 
@@ -152,6 +154,19 @@ class Passages:
         out[:-1][~self.last[:-1]] += blocks[1:][~self.last[:-1]]
         return out
 
+    def words(self) -> np.ndarray:
+        """Number of words of each passage."""
+        after = np.append(self.start, len(self.flat))[np.searchsorted(self.text, self.text, side="right")]
+        return np.minimum(WINDOW, after - self.start)
+
+    def only(self, passages: np.ndarray) -> None:
+        """Leave the weighted words of other passages out of the sums."""
+        needed = passages.copy()  # a passage is its own block and the next one of its text
+        needed[1:] |= passages[:-1] & ~self.last[:-1]
+        kept = needed[self.block]
+        self.terms, self.weights = self.terms[kept], self.weights[kept]
+        self.block, self.place = self.block[kept], self.place[kept]
+
     def lengths(self) -> np.ndarray:
         squares = np.bincount(self.block, weights=self.weights.astype(np.float64) ** 2, minlength=len(self.start))
         return np.sqrt(self.paired(squares))
@@ -259,30 +274,39 @@ def load_items(benchmark: DataFrame) -> Items:
 def candidates(tokens: DataFrame, space: Space, items: Items) -> DataFrame:
     """key1, key2, item (its place in ``items``), start (first word of the passage), cosine."""
     owner, vectors = items.segments(space)
-    holds = np.zeros((len(items.ids), TERMS), dtype=bool)
+    known = np.unique(np.concatenate([terms[terms > 0] for terms in items.terms]))
+    number = np.zeros(TERMS, dtype=np.uint16)  # 0: in no item
+    number[known] = np.arange(1, len(known) + 1)
+    holds = np.zeros((len(items.ids), len(known) + 1), dtype=bool)
     for i, terms in enumerate(items.terms):
-        holds[i, terms[terms > 0]] = True
+        holds[i, number[terms[terms > 0]]] = True
+    block = max(1, BLOCK // max(1, len(owner)))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches(frames):
             found = Passages([np.frombuffer(t, dtype=np.uint16) for t in frame["terms"]], space.weights)
+            words, length = number[found.flat], found.words()
+            least = SHARED_TERMS * length
+            # A passage with too few words of all items together has too few of each.
+            upto = np.concatenate(([0], np.cumsum(words > 0)))
+            likely = upto[found.start + length] - upto[found.start] >= least
+            found.only(likely)
             latent = found.sums(space.vectors)
             size = np.sqrt((latent * latent).sum(axis=1))
-            there = np.flatnonzero(size > 1e-6)
+            there = np.flatnonzero(likely & (size > 1e-6))
             out = []
-            ends = np.minimum(found.start + WINDOW, np.append(found.start, len(found.flat))[np.searchsorted(found.text, found.text, side="right")])
-            for a in range(0, len(there), 8192):
-                rows = there[a : a + 8192]
+            for a in range(0, len(there), block):
+                rows = there[a : a + block]
                 near = (latent[rows] / size[rows, None]) @ vectors.T
                 row, segment = np.nonzero(near >= COSINE)
+                window = words[np.minimum(found.start[rows, None] + np.arange(WINDOW), len(words) - 1)]
+                window[np.arange(WINDOW) >= length[rows, None]] = 0
                 for b in range(0, len(row), 500_000):
-                    r, s = rows[row[b : b + 500_000]], segment[b : b + 500_000]
-                    index = found.start[r][:, None] + np.arange(WINDOW)
-                    real = index < ends[r][:, None]
-                    shared = (holds[owner[s][:, None], found.flat[np.minimum(index, len(found.flat) - 1)]] & real).sum(axis=1)
-                    enough = shared >= SHARED_TERMS * np.minimum(WINDOW, real.sum(axis=1))
-                    r, s, cosine = r[enough], s[enough], near[row[b : b + 500_000][enough], s[enough]]
-                    out.append(pd.DataFrame({"text": found.text[r], "item": owner[s], "start": found.number[r] * HALF, "cosine": cosine}))
+                    r, s = row[b : b + 500_000], segment[b : b + 500_000]
+                    enough = holds[owner[s][:, None], window[r]].sum(axis=1) >= least[rows[r]]
+                    r, s = r[enough], s[enough]
+                    at = rows[r]
+                    out.append(pd.DataFrame({"text": found.text[at], "item": owner[s], "start": found.number[at] * HALF, "cosine": near[r, s]}))
             if out:
                 best = pd.concat(out).sort_values("cosine", ascending=False).drop_duplicates(["text", "item", "start"])
                 own = frame.iloc[best["text"].to_numpy()]
@@ -330,6 +354,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     places = F.collect_list(F.struct("item", "start", "cosine")).alias("found")
     by_text = stage(candidates(tokens, space, items).groupBy("key1", "key2").agg(places), "candidates")
     rows = id_text(docs, spread=False).withColumns({"key1": F.xxhash64("doc_id", "text"), "key2": F.xxhash64("text", "doc_id", F.lit(1))})
+    keys = by_text.select("key1", "key2")
+    if keys.count() <= MOST_KEYS:  # else all texts are shuffled by their keys
+        rows = rows.join(F.broadcast(keys), ["key1", "key2"], "left_semi")
     picked = rows.join(by_text, ["key1", "key2"]).select("doc_id", "text", "found")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
