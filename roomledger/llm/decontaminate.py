@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +61,6 @@ def normal(token: str) -> str:
 
 
 def term(token: str) -> int:
-    import xxhash
-
     word = normal(token)
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) % (TERMS - 1) + 1 if word else 0
 
@@ -363,13 +362,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for frame in frames:
             out = []
             for doc_id, null, text, found in zip(frame["doc_id"], frame["doc_id"].isna(), frame["text"], frame["found"], strict=True):
-                words = [normal(w) for w in text.split()]
+                words = text.split()
                 best: dict[int, tuple] = {}
                 for place in found:
                     item = items.words[place["item"]]
                     first = max(0, place["start"] - len(item))
                     stretch = words[first : place["start"] + WINDOW + len(item)]
-                    covered, answered, leak = verify(item, [w for w in stretch if w])
+                    covered, answered, leak = verify(item, [w for w in map(normal, stretch) if w])
                     if leak:
                         row = (covered, place["cosine"], -place["start"], answered)
                         best[place["item"]] = max(best.get(place["item"], row), row)

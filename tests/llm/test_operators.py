@@ -189,6 +189,18 @@ def test_pii_base_spans_and_tagger(docs, none):
     assert pii.find(none).count() == 0 and pii.redact(none).count() == 0
 
 
+def test_near_copies_count_once_in_the_toxicity_fit():
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(400)]
+    base = rng.choice(words, 120).tolist()
+    copies = [" ".join(base[:i] + ["other"] + base[i + 1 :]) for i in range(0, 120, 4)]
+    others = [" ".join(rng.choice(words, 120)) for _ in range(20)]
+    kept = toxicity.without_near_copies([*copies, *others, "", "one", ""])
+    assert [t for t in kept if t in copies] == copies[:1]
+    assert [t for t in kept if t in others] == others
+    assert kept[-2:] == ["", "one"]
+
+
 def test_toxicity_on_held_out_rows(spark, docs, none):
     rng = random.Random(3)
     rows, labels = [], []
@@ -226,7 +238,7 @@ def test_licences_families_and_unknown(spark, none):
     assert licences.scan_documents(none.select("doc_id", "text")).count() == 0
 
 
-def test_decontamination_finds_copies_and_paraphrases(spark, none):
+def test_decontamination_finds_copies_and_paraphrases(spark, none, monkeypatch):
     bench = [(i, sentence(5000 + i, 30)) for i in range(5)] + [(9, None), (10, ""), (11, "too short")]
     items = spark.createDataFrame(bench, "item_id long, text string")
     rows = [(i, sentence(i, 120)) for i in range(150)]
@@ -238,6 +250,8 @@ def test_decontamination_finds_copies_and_paraphrases(spark, none):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame, items).collect()}
     assert got == {(3, 1), (7, 2), (None, 3)}
+    monkeypatch.setattr(decontaminate, "MOST_KEYS", 0)  # the way without a broadcast
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame, items).collect()} == got
     assert decontaminate.leaks(none.select("doc_id", "text"), items).count() == 0
     assert decontaminate.leaks(frame, items.filter("false")).count() == 0
     a, b = "x a y b c z d".split(), "a q b c d d".split()
