@@ -254,4 +254,6 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     same &= F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == chosen["text_hash"]
     single = docs.join(chosen.filter("copies = 1"), same, "left_semi")
     repeated = docs.join(chosen.filter("copies > 1"), same, "left_semi")
-    return single.unionByName(repeated.dropDuplicates(["doc_id"]))
+    # The rows of one id may be of several components, so copies are told by the pair that chose them.
+    pair = {"_kept_id": F.col("doc_id").cast("long"), "_kept_hash": F.xxhash64(F.coalesce("text", F.lit("")))}
+    return single.unionByName(repeated.withColumns(pair).dropDuplicates([*pair]).drop(*pair))

@@ -149,6 +149,15 @@ def test_simhash_equals_brute_force(spark, docs, none):
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_one(none).count() == 0
 
 
+def test_keep_one_keeps_a_row_of_every_repeated_text(spark):
+    a, b, c, d = (sentence(seed) for seed in (901, 902, 903, 904))
+    rows = [(None, a), (None, a), (None, b), (None, b), (1, c), (1, c), (1, d), (1, d), (2, c), (None, None), (None, "")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = by_text((r.doc_id, text_of(r.text)) for r in kept.collect())
+    assert kept.columns == ["doc_id", "text"]
+    assert got == by_text([(None, a), (None, b), (1, c), (1, d), (None, "")])
+
+
 @pytest.mark.parametrize("bits", [6, 12])
 def test_every_link_within_the_distance_meets(bits):
     rng = np.random.default_rng(bits)
