@@ -345,23 +345,29 @@ def verify(item: list[str], stretch: list[str]) -> tuple[float, float, bool]:
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start (word), cosine, covered, answered: the benchmark items found in each document."""
+    return keyed_leaks(docs, benchmark).drop("key1", "key2")
+
+
+def keyed_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The leaks with key1 and key2, which tell rows apart whose ids are null or repeated."""
     items = load_items(benchmark)
     tokens = tokenised(docs)
     space = latent_space(tokens, items.terms)
     if not items.ids:
-        return docs.sparkSession.createDataFrame([], LEAKS)
+        return docs.sparkSession.createDataFrame([], f"{KEYS}, {LEAKS}")
     places = F.collect_list(F.struct("item", "start", "cosine")).alias("found")
     by_text = stage(candidates(tokens, space, items).groupBy("key1", "key2").agg(places), "candidates")
     rows = id_text(docs, spread=False).withColumns({"key1": F.xxhash64("doc_id", "text"), "key2": F.xxhash64("text", "doc_id", F.lit(1))})
     keys = by_text.select("key1", "key2")
     if keys.count() <= MOST_KEYS:  # else all texts are shuffled by their keys
         rows = rows.join(F.broadcast(keys), ["key1", "key2"], "left_semi")
-    picked = rows.join(by_text, ["key1", "key2"]).select("doc_id", "text", "found")
+    picked = rows.join(by_text, ["key1", "key2"]).select("key1", "key2", "doc_id", "text", "found")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for doc_id, null, text, found in zip(frame["doc_id"], frame["doc_id"].isna(), frame["text"], frame["found"], strict=True):
+            columns = (frame["key1"], frame["key2"], frame["doc_id"], frame["doc_id"].isna(), frame["text"], frame["found"])
+            for key1, key2, doc_id, null, text, found in zip(*columns, strict=True):
                 words = text.split()
                 best: dict[int, tuple] = {}
                 for place in found:
@@ -373,17 +379,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         row = (covered, place["cosine"], -place["start"], answered)
                         best[place["item"]] = max(best.get(place["item"], row), row)
                 for i, (covered, cosine, start, answered) in sorted(best.items()):
-                    out.append((None if null else int(doc_id), items.ids[i], -start, cosine, covered, answered))
-            names = [c.split()[0] for c in LEAKS.split(", ")]
+                    out.append((key1, key2, None if null else int(doc_id), items.ids[i], -start, cosine, covered, answered))
+            names = [c.split()[0] for c in f"{KEYS}, {LEAKS}".split(", ")]
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    return picked.mapInPandas(run, LEAKS)
+    return picked.mapInPandas(run, f"{KEYS}, {LEAKS}")
 
 
+KEYS = "key1 long, key2 long"
 LEAKS = "doc_id long, item_id long, start long, cosine double, covered double, answered double"
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item was found, with all their columns."""
-    found = stage(leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_leaked"]), "left_anti")
+    found = stage(keyed_leaks(docs, benchmark).select(F.col("key1").alias("_key1"), F.col("key2").alias("_key2")).distinct(), "leaked")
+    doc_id, text = docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit(""))
+    same = (F.xxhash64(doc_id, text) == found["_key1"]) & (F.xxhash64(text, doc_id, F.lit(1)) == found["_key2"])
+    return docs.join(found, same, "left_anti")

@@ -267,6 +267,17 @@ def test_decontamination_finds_copies_and_paraphrases(spark, none, monkeypatch):
     assert decontaminate.common_subsequence(a, b) == 4
 
 
+def test_only_the_leaking_rows_of_an_id_go(spark):
+    item = sentence(5000, 30)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    leak = f"{sentence(1, 40)} {item} {sentence(2, 40)}"
+    clean = [(None, sentence(i, 100)) for i in range(30)] + [(7, sentence(i, 100)) for i in range(30, 60)] + [(None, None), (7, "")]
+    rows = [*clean, (None, leak), (7, leak), (7, leak), (8, leak)]
+    kept = decontaminate.keep_clean(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    assert kept.columns == ["doc_id", "text"]
+    assert by_text((r.doc_id, r.text) for r in kept.collect()) == by_text(clean)
+
+
 def test_nearest_neighbours_recall(spark):
     rng = np.random.default_rng(4)
     vectors = rng.normal(size=(700, 16)).round(3)
