@@ -11,7 +11,8 @@
    orthonormalises the terms x rank matrix (its size does not depend on the corpus) and takes the
    singular values from the one-pass formula.
 4. Every passage is projected and compared by cosine with every segment of every benchmark item, in
-   blocks. Pairs above ``COSINE`` whose passage holds enough of the item's terms are candidates.
+   blocks. Pairs above ``COSINE`` lead to the passages from which the item's words may be in reach: a bound
+   that verification implies (``fewest``, ``least_of_passage``), so it leaves out no pair that would pass.
 5. Candidates are verified on the words themselves: the longest common subsequence of the item and the
    stretch of text around the passage must cover ``COVERED`` of the item, or ``PARAPHRASED`` of it if the
    item's answer (its last ``ANSWER`` words, or share of them) is there as well.
@@ -42,9 +43,8 @@ TERMS = 1 << 16  # term 0 stands for tokens without letters or digits and has no
 RANK = 48
 WINDOW = 16
 HALF = WINDOW // 2
-MOST_COMMON = 0.01
+MOST_COMMON = 0.02
 COSINE = 0.4
-SHARED_TERMS = 0.55  # of a passage's words that must be the item's, for a candidate
 COVERED, PARAPHRASED = 0.8, 0.65
 ANSWER, ANSWER_COVERED = 0.25, 0.75
 LEAST_WORDS = 8
@@ -155,8 +155,12 @@ class Passages:
 
     def words(self) -> np.ndarray:
         """Number of words of each passage."""
-        after = np.append(self.start, len(self.flat))[np.searchsorted(self.text, self.text, side="right")]
-        return np.minimum(WINDOW, after - self.start)
+        return np.minimum(WINDOW, self.bounds()[1] - self.start)
+
+    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first word of each passage's text, and the word after its last."""
+        end = np.append(self.start, len(self.flat))[np.searchsorted(self.text, self.text, side="right")]
+        return self.start - self.number * HALF, end
 
     def only(self, passages: np.ndarray) -> None:
         """Leave the weighted words of other passages out of the sums."""
@@ -250,7 +254,7 @@ class Items:
     def segments(self, space: Space) -> tuple[np.ndarray, np.ndarray]:
         owner, vectors = [], []
         for i, terms in enumerate(self.terms):
-            starts = {*range(0, max(1, len(terms) - HALF), WINDOW), max(0, len(terms) - WINDOW)}
+            starts = {*range(0, max(1, len(terms) - HALF), HALF), max(0, len(terms) - WINDOW)}
             for a in sorted(starts):
                 part = terms[a : a + WINDOW]
                 vector = (space.vectors[part] * space.weights[part, None]).sum(axis=0)
@@ -270,6 +274,56 @@ def load_items(benchmark: DataFrame) -> Items:
     return Items([i for i, _ in split], [w for _, w in split], [terms_of(" ".join(w)) for _, w in split])
 
 
+def fewest(length: int) -> int:
+    """The least common subsequence with which ``verify`` accepts an item of ``length`` words."""
+    return math.ceil(min(COVERED, PARAPHRASED) * length - 1e-9)
+
+
+def reach(length: int) -> int:
+    """Half windows on each side of a passage that hold the stretch it is verified on."""
+    return -(-length // HALF)
+
+
+def least_of_passage(length: int) -> int:
+    """Item words in the richest of the ``reach + 1`` whole windows that a verified stretch is made of."""
+    return -(-fewest(length) // (reach(length) + 1))
+
+
+def in_reach(found: Passages, passages: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``passages``, half windows from there) of passages whose stretch holds enough of the item's words.
+
+    A common subsequence has no word more often than the item and the stretch have it.
+    """
+    distinct, times = np.unique(terms[terms > 0], return_counts=True)
+    local = np.zeros(TERMS, dtype=np.int64)
+    local[distinct] = np.arange(1, len(distinct) + 1)
+    size, steps, least = len(terms), reach(len(terms)), fewest(len(terms)) - int((terms == 0).sum())
+    before = steps * HALF + size
+    first, end = found.bounds()
+
+    def enough(rows: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+        out = np.zeros(len(rows), dtype=bool)
+        for a in range(0, len(rows), 20_000):
+            own, at = rows[a : a + 20_000], start[a : a + 20_000, None] + np.arange(width)
+            there = (at >= first[passages[own], None]) & (at < end[passages[own], None])
+            word = np.where(there, local[found.flat[np.clip(at, 0, len(found.flat) - 1)]], 0)
+            word += np.arange(len(own))[:, None] * (len(distinct) + 1)
+            held = np.bincount(word.ravel(), minlength=len(own) * (len(distinct) + 1)).reshape(len(own), -1)[:, 1:]
+            out[a : a + 20_000] = np.minimum(held, times).sum(axis=1) >= least
+        return out
+
+    rows = np.arange(len(passages))
+    rows = rows[enough(rows, found.start[passages] - before, 2 * before + WINDOW)]  # all stretches together
+    places, shifts = [rows[:0]], [rows[:0]]
+    for shift in range(-steps, steps + 1):
+        at = found.start[passages[rows]] + shift * HALF
+        own = rows[(at >= first[passages[rows]]) & (at < end[passages[rows]])]
+        own = own[enough(own, found.start[passages[own]] + shift * HALF - size, 2 * size + WINDOW)]
+        places.append(own)
+        shifts.append(np.full(len(own), shift))
+    return np.concatenate(places), np.concatenate(shifts)
+
+
 def candidates(tokens: DataFrame, space: Space, items: Items) -> DataFrame:
     """key1, key2, item (its place in ``items``), start (first word of the passage), cosine."""
     owner, vectors = items.segments(space)
@@ -279,21 +333,21 @@ def candidates(tokens: DataFrame, space: Space, items: Items) -> DataFrame:
     holds = np.zeros((len(items.ids), len(known) + 1), dtype=bool)
     for i, terms in enumerate(items.terms):
         holds[i, number[terms[terms > 0]]] = True
+    least = np.array([least_of_passage(len(terms)) for terms in items.terms])
     block = max(1, BLOCK // max(1, len(owner)))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches(frames):
             found = Passages([np.frombuffer(t, dtype=np.uint16) for t in frame["terms"]], space.weights)
             words, length = number[found.flat], found.words()
-            least = SHARED_TERMS * length
             # A passage with too few words of all items together has too few of each.
             upto = np.concatenate(([0], np.cumsum(words > 0)))
-            likely = upto[found.start + length] - upto[found.start] >= least
+            likely = upto[found.start + length] - upto[found.start] >= least.min()
             found.only(likely)
             latent = found.sums(space.vectors)
             size = np.sqrt((latent * latent).sum(axis=1))
             there = np.flatnonzero(likely & (size > 1e-6))
-            out = []
+            near_pairs = []
             for a in range(0, len(there), block):
                 rows = there[a : a + block]
                 near = (latent[rows] / size[rows, None]) @ vectors.T
@@ -302,19 +356,29 @@ def candidates(tokens: DataFrame, space: Space, items: Items) -> DataFrame:
                 window[np.arange(WINDOW) >= length[rows, None]] = 0
                 for b in range(0, len(row), 500_000):
                     r, s = row[b : b + 500_000], segment[b : b + 500_000]
-                    enough = holds[owner[s][:, None], window[r]].sum(axis=1) >= least[rows[r]]
+                    enough = holds[owner[s][:, None], window[r]].sum(axis=1) >= least[owner[s]]
                     r, s = r[enough], s[enough]
-                    at = rows[r]
-                    out.append(pd.DataFrame({"text": found.text[at], "item": owner[s], "start": found.number[at] * HALF, "cosine": near[r, s]}))
+                    near_pairs.append(pd.DataFrame({"passage": rows[r], "item": owner[s], "cosine": near[r, s]}))
+            if not near_pairs:
+                continue
+            pairs = pd.concat(near_pairs).groupby(["item", "passage"], as_index=False)["cosine"].max()
+            out = []
+            for item, own in pairs.groupby("item"):
+                passages = own["passage"].to_numpy()
+                place, shift = in_reach(found, passages, items.terms[item])
+                at = passages[place] + shift
+                cosine = own["cosine"].to_numpy()[place]
+                out.append(pd.DataFrame({"passage": at, "item": item, "far": np.abs(shift), "cosine": cosine}))
             if out:
-                best = pd.concat(out).sort_values("cosine", ascending=False).drop_duplicates(["text", "item", "start"])
-                own = frame.iloc[best["text"].to_numpy()]
+                best = pd.concat(out).sort_values(["far", "cosine"], ascending=[True, False]).drop_duplicates(["passage", "item"])
+                at = best["passage"].to_numpy()
+                own = frame.iloc[found.text[at]]
                 yield pd.DataFrame(
                     {
                         "key1": own["key1"].to_numpy(),
                         "key2": own["key2"].to_numpy(),
                         "item": best["item"].to_numpy().astype(np.int32),
-                        "start": best["start"].to_numpy().astype(np.int32),
+                        "start": (found.number[at] * HALF).astype(np.int32),
                         "cosine": best["cosine"].to_numpy().astype(np.float64),
                     }
                 )

@@ -267,6 +267,42 @@ def test_decontamination_finds_copies_and_paraphrases(spark, none, monkeypatch):
     assert decontaminate.common_subsequence(a, b) == 4
 
 
+def plain_leaks(rows, bench):
+    """(doc_id, item_id, covered): every item against the stretch around every passage, words only."""
+    out = {}
+    for doc_id, text in rows:
+        words = text.split()
+        for item_id, item_text in bench:
+            item = [w for w in map(decontaminate.normal, item_text.split()) if w]
+            for start in range(0, len(words), decontaminate.HALF):
+                stretch = words[max(0, start - len(item)) : start + decontaminate.WINDOW + len(item)]
+                covered, _, leak = decontaminate.verify(item, [w for w in map(decontaminate.normal, stretch) if w])
+                if leak:
+                    out[doc_id, item_id] = max(covered, out.get((doc_id, item_id), 0))
+    return {(*pair, covered) for pair, covered in out.items()}
+
+
+def test_decontamination_equals_every_item_against_every_stretch(spark):
+    bench = [(n, sentence(7000 + n, n)) for n in (8, 9, 10, 12, 16, 24, 40)]
+    rows = [(i, sentence(i, 90)) for i in range(60)]
+    for n, text in bench:
+        words = text.split()
+        fifth = [w if i % 5 != 2 else f"swapped{i}" for i, w in enumerate(words)]
+        thinned = [w if i % 3 != 1 or i >= 0.7 * n else f"swapped{i}" for i, w in enumerate(words)]
+        dilated = [x for i, w in enumerate(words) for x in ((w, f"put{i}") if i % 2 else (w,))]
+        for kind, parts in enumerate((words, fifth, thinned, dilated)):
+            for offset in range(8):
+                before, after = sentence(n * 100 + offset, 40 + offset), sentence(n * 200 + offset, 50)
+                rows.append((1000 * n + 10 * kind + offset, f"{before} {' '.join(parts)} {after}"))
+    want = plain_leaks(rows, bench)
+    assert len(want) > 170
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.covered) for r in decontaminate.leaks(frame, items).collect()}
+    assert got - want == set()
+    assert want - got == set()
+
+
 def test_only_the_leaking_rows_of_an_id_go(spark):
     item = sentence(5000, 30)
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
