@@ -7,10 +7,11 @@ Start. Each of a few passes orders all nodes by (nearest of a fixed number of ra
 projection on a random direction), cuts the order into blocks of equal size and lists each node's
 nearest within its block. A hot pivot is many blocks, and no block is larger than ``BLOCK``.
 
-NN-descent. In a round every node gathers some of its neighbours and of the nodes it is a neighbour of
-(the new ones first, by distance), with their vectors; any two that meet there are neighbours of a
-neighbour and become candidates of each other. Each member passes on its best few; lists are merged.
-Rounds go on until few list entries change. The graph is written to the shared folder every round.
+NN-descent. In a round every node gathers its neighbours and up to ``MEET`` of the nodes it is a neighbour of (the
+new ones first, by distance), with their vectors; any two that meet there, one of them new, are neighbours
+of a neighbour and become candidates of each other. Each member passes on its best few; lists are merged.
+An entry stays new until it has met the others at its node. Rounds go on until fewer than ``LEAST_CHANGE``
+of the list entries change, ``ROUNDS`` at most. The graph is written to the shared folder every round.
 
 Search. All queries walk at once: the best entries of a query's list that have not been expanded are
 joined with the graph, their neighbours not seen before with the vectors, distances are taken in double
@@ -33,17 +34,17 @@ from pyspark.sql import functions as F
 
 from roomledger.session import stage
 
-NEIGHBOURS = 16
+NEIGHBOURS = 32
 PASSES = 6
 PIVOTS = 64  # per pass; the only vectors that are sent to every task
 BLOCK = 512
-MEET = 10  # of a node's own list and of the lists it is on, each, that meet in a round
-PASSED_ON = 6
-ROUNDS = 4
+MEET = NEIGHBOURS  # all of a node's own list, and as many of the lists it is on, meet in a round
+PASSED_ON = 10
+ROUNDS = 10
 LEAST_CHANGE = 0.02
-BEAM = 64
-EXPAND = 16
-SEARCH_ROUNDS = 30
+BEAM = 256
+EXPAND = 64
+SEARCH_ROUNDS = 100
 SEED = 42
 
 

@@ -335,6 +335,21 @@ def test_nearest_neighbours_recall(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_every_list_entry_meets_and_recall_holds_beyond_the_start_blocks(spark):
+    assert ann.MEET >= ann.NEIGHBOURS  # else fresh entries that did not meet would count as old
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(4000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    hits = 0
+    for q in range(0, 4000, 100):
+        far = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits += len(set(np.argsort(far)[:10].tolist()) & {r.vec_id for r in got if r.query_id == q})
+    assert hits / 400 >= 0.98
+
+
 def test_pipeline_stages_keep_columns_and_order(spark):
     import corpus_pipeline
 
