@@ -8,7 +8,8 @@ of ordinary words then compresses to the same length with either, and each toxic
 bytes with one of them only. A whole text is cut into windows of ``WINDOW`` words; statistics of the
 windows' differences in compressed length (mean, maximum, mean of the three largest, shares of windows
 that save at least so many bytes, also weighted by the number of windows) are calibrated to a probability
-by logistic regression on the same labelled texts. Near copies count once in the fit.
+by logistic regression on the same labelled texts. Near copies count once in the fit. The rows of a class
+weigh as much as all its labels, so the sample's share of toxic rows does not move the scores.
 
 Fitting uses a bounded sample, chosen by a hash of the id: at most about ``SAMPLE[c]`` texts of class c, none
 over ``LONGEST`` characters. Every text is scored, whole. Labels of held-out rows (crc32 of the id as
@@ -176,21 +177,22 @@ class Compressors:
         return saved.mean(), saved[-1], saved[-3:].mean(), *shares, *evidence, math.log(len(saved))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last column of ``x`` is the constant."""
+def logistic(x: np.ndarray, y: np.ndarray, rows: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; the last column of ``x`` is the constant, ``rows`` the rows' weights."""
     weights, penalty = np.zeros(x.shape[1]), ridge * np.eye(x.shape[1])
     penalty[-1, -1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (p - y) + penalty @ weights
-        change = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, gradient)
+        gradient = x.T @ (rows * (p - y)) + penalty @ weights
+        change = np.linalg.solve((x * (rows * p * (1 - p))[:, None]).T @ x + penalty, gradient)
         weights -= change
         if np.abs(change).max() < 1e-8:
             break
     return weights
 
 
-def fit(texts: list[str], labels: list[int]) -> Model:
+def fit(texts: list[str], labels: list[int], sizes: dict[int, int]) -> Model:
+    """The model of a sample of labelled texts; ``sizes`` has the number of labels of each class it was drawn from."""
     pairs = sorted(set(zip(texts, labels, strict=True)))
     toxic = without_near_copies([t for t, y in pairs if y])
     ordinary = without_near_copies([t for t, y in pairs if not y])
@@ -208,7 +210,10 @@ def fit(texts: list[str], labels: list[int]) -> Model:
                 y.append(float(label))
     x, model = np.array(x), dictionaries(toxic, ordinary)
     model.mean, model.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
-    model.weights = logistic(np.column_stack(((x - model.mean) / model.scale, np.ones(len(x)))), np.array(y))
+    y = np.array(y)
+    rows = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum())
+    rows *= len(y) / rows.sum()
+    model.weights = logistic(np.column_stack(((x - model.mean) / model.scale, np.ones(len(x)))), y, rows)
     return model
 
 
@@ -246,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = rows.filter(F.length("text") <= LONGEST).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
     sample = found.dropDuplicates(["text"]).collect()  # bounded by SAMPLE and LONGEST
-    return fit([row.text for row in sample], [row.toxic for row in sample])
+    return fit([row.text for row in sample], [row.toxic for row in sample], sizes)
 
 
 def scorer(model: Model):

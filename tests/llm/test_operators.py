@@ -210,6 +210,25 @@ def test_near_copies_count_once_in_the_toxicity_fit():
     assert kept[-2:] == ["", "one"]
 
 
+def test_toxicity_scores_do_not_follow_the_sampling_share(spark, monkeypatch):
+    rng = random.Random(8)
+    base, marks = [], []
+    for i in range(700):
+        words, toxic = sentence(20_000 + i, 24).split(), i % 8 == 0
+        if rng.random() < (0.7 if toxic else 0.05):  # the classes overlap
+            words[rng.randrange(24)] = "blockhead"
+        base.append(" ".join(words))
+        marks.append(int(toxic))
+    monkeypatch.setattr(toxicity, "SAMPLE", {0: 700, 1: 1000})
+    means = []
+    for times in (1, 10):  # the second has too many ordinary labels for the sample
+        rows = [(700 * n + i, base[i], marks[i]) for n in range(times) for i in range(700)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        model = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+        means.append(toxicity.probabilities(model, toxicity.Compressors(model), base).mean())
+    assert abs(means[0] - 1 / 8) < 0.03 and abs(means[1] - means[0]) < 0.03
+
+
 def test_toxicity_on_held_out_rows(spark, docs, none):
     rng = random.Random(3)
     rows, labels = [], []
