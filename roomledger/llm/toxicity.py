@@ -12,7 +12,7 @@ by logistic regression on the same labelled texts. Near copies count once in the
 weigh as much as all its labels, so the sample's share of toxic rows does not move the scores.
 
 Fitting uses a bounded sample, chosen by a hash of the id: at most about ``SAMPLE[c]`` texts of class c, none
-over ``LONGEST`` characters. Every text is scored, whole. Labels of held-out rows (crc32 of the id as
+over ``LONGEST`` characters; the shared content is trained on ``SHARED_WINDOWS`` of their windows. Every text is scored, whole. Labels of held-out rows (crc32 of the id as
 text, modulo ``FOLDS``, equal to ``HELD_OUT``) are never read, and only the text enters a score.
 
 Defined results: null and empty texts get the score of a text without windows of their own; a null
@@ -45,6 +45,7 @@ LONGEST = 50_000
 WINDOW = 8
 SAVED = (2, 4, 6)  # bytes
 SHARED_BYTES = 12_000
+SHARED_WINDOWS = 60_000  # of the sampled ordinary texts, chosen by hash, that the shared content is trained on
 SKETCH = 16  # hashes that stand for a text when near copies are left out of the fit
 SPECIFIC = 48  # word beginnings in the toxic dictionary's own part
 PREFIXES = (4, 5, 6, 7, 8)
@@ -110,12 +111,18 @@ def typical(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     return sorted(kept, key=lambda p: (ranked[p], p))[-SPECIFIC:]
 
 
+def chosen_windows(found: Iterator[bytes]) -> list[bytes]:
+    """At most ``SHARED_WINDOWS`` of the windows, from all over the texts, in their order."""
+    numbered = ((zlib.crc32(w, n), n, w) for n, w in enumerate(found))
+    return [w for _, _, w in sorted(heapq.nsmallest(SHARED_WINDOWS, numbered), key=lambda x: x[1])]
+
+
 def shared_content(ordinary: list[str], toxic_parts: list[bytes]) -> bytes:
     """Dictionary content that zstandard's trainer chooses from ordinary windows without toxic beginnings."""
     import zstandard
 
     unlike = re.compile(b"|".join((re.escape(p.strip()) for p in toxic_parts)) or b"(?!)")
-    samples = [w for text in ordinary for w in windows(text) if not unlike.search(w)][:60_000]
+    samples = chosen_windows(w for text in ordinary for w in windows(text) if not unlike.search(w))
     try:
         return zstandard.train_dictionary(SHARED_BYTES + 4096, samples, k=64, d=6).as_bytes()[-SHARED_BYTES:]
     except zstandard.ZstdError:  # the trainer refuses very small samples; their own text is then the content

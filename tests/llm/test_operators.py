@@ -229,6 +229,15 @@ def test_toxicity_scores_do_not_follow_the_sampling_share(spark, monkeypatch):
     assert abs(means[0] - 1 / 8) < 0.03 and abs(means[1] - means[0]) < 0.03
 
 
+def test_shared_windows_come_from_all_texts(monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARED_WINDOWS", 100)
+    found = [f"w{n}".encode() for n in range(1000)]
+    chosen = [int(w[1:]) for w in toxicity.chosen_windows(iter(found))]
+    assert len(chosen) == 100 and chosen == sorted(chosen)
+    assert min(np.histogram(chosen, bins=5, range=(0, 1000))[0]) > 8
+    assert toxicity.chosen_windows(iter(found[:50])) == found[:50]
+
+
 def test_toxicity_on_held_out_rows(spark, docs, none):
     rng = random.Random(3)
     rows, labels = [], []
