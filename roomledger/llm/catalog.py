@@ -7,10 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import ann, byte_bpe, chat, decontaminate, licences, pii, sharding, simhash, token_records, toxicity
+from roomledger.llm import (
+    alignment,
+    ann,
+    byte_bpe,
+    chat,
+    decontaminate,
+    licences,
+    packing,
+    pii,
+    repair,
+    sharding,
+    simhash,
+    token_records,
+    toxicity,
+)
 from roomledger.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 TEMPLATE_PROBE = "</s>[INST] ok [/INST]"
 
@@ -62,6 +78,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE_JSON, public_tokenizers.PATTERN, end_id=1, capacity=2048)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audit(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, BYTE_BPE_JSON, public_tokenizers.PATTERN, PIECE_BPE)
+
+
 QUERIES = (
     op1_decontamination,
     op2_nn_descent,
@@ -73,6 +102,9 @@ QUERIES = (
     op8_toxicity,
     op9_licences,
     op10_sharding,
+    op11_packing,
+    op12_conversation_repair,
+    op13_alignment,
 )
 
 
