@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from roomledger.schema import MISSING_TOKENS, MONTH_NAMES
 
-# A decimal number as pandas.to_numeric accepts it: optional blanks and sign, digits with an
-# optional fraction, optional exponent. Spark's own cast is laxer ("5d", "1f"), hence the guard.
-NUMERIC_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-BLANK_PATTERN = r"^\s*$"
+# What Spark's cast to double reads beyond a plain decimal number with optional blanks, sign, fraction and
+# exponent (which is what pandas.to_numeric accepts): suffixes, hexadecimal numbers, names of special values, and
+# control characters around the number. A text with any of these characters is no number here.
+NOT_IN_NUMBERS = "dDfFxXpPnNiI" + "".join(map(chr, (*range(9), *range(14, 32))))
+BLANKS = " \t\n\v\f\r"
 
 
 def clean_column_name(name: str) -> str:
@@ -35,7 +36,7 @@ def null_if_missing(col: Column, tokens: list[Column] | None = None) -> Column:
 
 def to_double(col: Column) -> Column:
     """Text -> double; anything that is not a plain decimal number becomes NULL."""
-    return F.when(col.rlike(NUMERIC_PATTERN), col.try_cast("double"))
+    return F.when(F.translate(col, NOT_IN_NUMBERS, "") == col, col.try_cast("double"))
 
 
 def whole_number(number: Column, name: str = "value") -> Column:
@@ -67,7 +68,7 @@ def date_from_parts(year: Column, month: Column, day: Column) -> Column:
 
 def blank_to_null(col: Column) -> Column:
     """Empty or whitespace-only text -> NULL (the warehouse load's EMPTYASNULL/BLANKSASNULL)."""
-    return F.when(~col.rlike(BLANK_PATTERN), col)
+    return F.when(F.trim(col, F.lit(BLANKS)) != "", col)
 
 
 def text_to_date(col: Column) -> Column:

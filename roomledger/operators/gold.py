@@ -39,6 +39,7 @@ class Dimension:
     name: str
     df: DataFrame
     rows: int
+    cached: tuple[DataFrame, ...] = ()  # frames that ``release`` lets go
 
 
 def valid(silver: DataFrame) -> DataFrame:
@@ -85,13 +86,20 @@ def build_dimension(silver: DataFrame, name: str) -> Dimension:
     """
     if name == "dim_date":
         dates = date_members(silver).persist()
-        return Dimension(name, dates, dates.count())
+        return Dimension(name, dates, dates.count(), (dates,))
     distinct = members(silver, name).persist()
     rows = distinct.count()
     numbered = with_schema(
         number_rows(distinct, DIMENSION_MEMBERS[name], DIMENSION_KEYS[name], rows=rows), DIMENSION_SCHEMAS[name]
     ).persist()  # filled by the first query that uses it, from the cached members
-    return Dimension(name, numbered, rows)
+    return Dimension(name, numbered, rows, (numbered, distinct))
+
+
+def release(dims: dict[str, Dimension]) -> None:
+    """Drop the cached rows of dimensions that are written or no longer needed."""
+    for dim in dims.values():
+        for frame in dim.cached:
+            frame.unpersist()
 
 
 def build_dimensions(silver: DataFrame, names=tuple(DIMENSION_SCHEMAS)) -> dict[str, Dimension]:

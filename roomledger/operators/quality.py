@@ -1,18 +1,19 @@
 """Data-quality checks of silver and gold.
 
 The reference ran five separate scans, each bringing one row to the client. Here all counting
-checks are one fused aggregate (one scan, no shuffle beyond a one-row final merge); only the
-duplicate probe needs a shuffle (on a 16-byte hash, or on the 9 key columns), and its partial
+checks are one fused aggregate. Where silver is being written anyway (``observed``) they are metrics of
+that write (``DataFrame.observe``) and cost no scan at all; the duplicate probe then reads nine columns of
+what was written. It is the only check that shuffles (a 16-byte hash, or the 9 key columns), and its partial
 aggregation removes repeated values map-side. The report is a small long-format DataFrame; the
 gate is a separate call that raises.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from roomledger.functions.measures import count_where
+from roomledger.functions.measures import count_where, date_key
 from roomledger.operators.gold import Dimension, valid
 from roomledger.operators.joins import small_side
 from roomledger.schema import (
@@ -21,6 +22,7 @@ from roomledger.schema import (
     EMPTY,
     EXPECTED_MIN_ROWS,
     FACT_KEYS,
+    FACT_MEASURES,
     REVENUE_TOLERANCE,
 )
 
@@ -116,17 +118,37 @@ def postconditions(silver: DataFrame) -> DataFrame:
     return _agg(silver, {f"negative_{c}": count_where(F.col(c) < 0) for c in NON_NEGATIVE_COLUMNS})
 
 
-def quality_report(silver: DataFrame, expected_min_rows: int = EXPECTED_MIN_ROWS) -> DataFrame:
+def counting_checks() -> dict[str, Column]:
+    """The row count and all 15 counting checks (Q1-Q7, Q9-Q18)."""
+    return {"total_rows": F.count(F.lit(1)), **null_checks(), **range_checks(), **consistency_checks()}
+
+
+def observed(silver: DataFrame) -> tuple[DataFrame, Observation]:
+    """``silver`` that takes the counting checks as its rows pass, and where they can be read once it is written.
+
+    The metrics are complete after the action that consumes the returned frame. They sit above the last
+    shuffle of silver, in the tasks that write; Spark adds up each written partition once, whether or not a task
+    had to run again.
+    """
+    observation = Observation()
+    return silver.observe(observation, *[expr.alias(name) for name, expr in counting_checks().items()]), observation
+
+
+def quality_report(
+    silver: DataFrame, expected_min_rows: int = EXPECTED_MIN_ROWS, counts: dict[str, int] | None = None
+) -> DataFrame:
     """Q19: every silver check as (check_name, observed, severity, outcome), long format.
 
-    One fused aggregate computes the row count and all 15 counting checks in a single scan;
-    ``stack`` turns its single row into rows; the duplicate probe is a second, separate aggregate.
+    ``counts`` are the metrics taken while ``silver`` was written. Without them one fused aggregate
+    computes the row count and all 15 counting checks; ``stack`` turns its single row into rows. The duplicate
+    probe is an aggregate of its own over nine columns.
     """
-    counting = {"total_rows": F.count(F.lit(1))}
-    counting.update(null_checks())
-    counting.update(range_checks())
-    counting.update(consistency_checks())
-    fused = _agg(silver, counting)
+    counting = counting_checks()
+    if counts is None:
+        fused = _agg(silver, counting)
+    else:
+        schema = ", ".join(f"{name} bigint" for name in counting)
+        fused = silver.sparkSession.createDataFrame([tuple(counts[name] for name in counting)], schema)
     error_checks = [c for c in counting if c != "total_rows"]
     stacked_args = ", ".join(f"'{c}', `{c}`" for c in error_checks)
     long = fused.select(
@@ -251,6 +273,80 @@ def reconciliation(silver: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
+# Fact columns whose values are those of the silver row, and how a silver row's members are spelled in both.
+CONTENT_COLUMNS = tuple(c for c in FACT_MEASURES if c not in ("reservation_status_date", "is_repeated_guest"))
+
+
+def _content(rows: DataFrame, date: Column) -> DataFrame:
+    """(date_key, two 64-bit hashes of a booking's whole content); -0.0 counts as 0.0."""
+    parts = []
+    for c in (*CONTENT_COLUMNS, "reservation_status_date", "is_repeated_guest", *MEMBER_COLUMNS):
+        kind = rows.schema[c].dataType.simpleString()
+        parts.append(F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) if kind == "double" else F.col(c).cast("string"))
+    # Hashes skip NULLs, so which columns are NULL is hashed as well.
+    gaps = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in CONTENT_COLUMNS + MEMBER_COLUMNS])
+    return rows.select(
+        date.alias("date_key"),
+        F.xxhash64(gaps, *parts).alias("first_hash"),
+        F.xxhash64(F.lit(1), *reversed(parts), gaps).alias("second_hash"),
+    )
+
+
+MEMBER_COLUMNS = ("hotel", "country", "customer_type", "reserved_room_type", "assigned_room_type", "market_segment", "distribution_channel")
+
+
+def _contents(silver: DataFrame, fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
+    """Both sides' rows as (side, date_key, hashes); the fact's members are looked up in the dimensions."""
+    joinable = valid(silver).where(F.col("arrival_date").isNotNull() & F.col("hotel").isNotNull())
+    spelled = fact
+    for name, key in DIMENSION_KEYS.items():
+        if name != "dim_date":
+            members = dims[name].df
+            spelled = spelled.join(small_side(members.select(key, *[c for c in members.columns if c in MEMBER_COLUMNS]), dims[name].rows), key, "left")
+    return (
+        _content(joinable, date_key(F.col("arrival_date"))).withColumn("side", F.lit(1))
+        .unionByName(_content(spelled, F.col("date_key")).withColumn("side", F.lit(-1)))
+    )
+
+
+def content_by_date(silver: DataFrame, fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
+    """G1-G2 by content: per date, the rows of silver and fact and whether they are the same bookings.
+
+    Each side's rows of a date are summed up as a multiset: their count and the exact sums of two independent
+    64-bit hashes of everything a booking says (measures, and members looked up through the keys), which
+    do not depend on the order of rows. A changed value at equal counts changes the sums. Both sides
+    are one aggregate over (date); partial sums leave one row per date and task for the shuffle.
+    """
+    def of(side: int, value: Column) -> Column:
+        return F.sum(F.when(F.col("side") == side, value).otherwise(0))
+
+    hashes = [F.col(c).cast("decimal(20,0)") for c in ("first_hash", "second_hash")]
+    sums = _contents(silver, fact, dims).groupBy("date_key").agg(
+        of(1, F.lit(1)).alias("silver_rows"),
+        of(-1, F.lit(1)).alias("fact_rows"),
+        *[F.sum(h * F.col("side")).alias(f"difference_{n}") for n, h in enumerate(hashes)],
+    )
+    same = (F.col("silver_rows") == F.col("fact_rows")) & (F.col("difference_0") == 0) & (F.col("difference_1") == 0)
+    return sums.select("date_key", F.col("silver_rows").cast("bigint"), F.col("fact_rows").cast("bigint"), same.alias("same_content"))
+
+
+def content_differences(silver: DataFrame, fact: DataFrame, dims: dict[str, Dimension]) -> DataFrame:
+    """The bookings behind dates whose content differs: (date_key, hashes, silver_rows, fact_rows) that are not equal.
+
+    Only the dates that ``content_by_date`` marks are compared row by row.
+    """
+    odd = content_by_date(silver, fact, dims).where(~F.col("same_content")).select("date_key")
+    rows = _contents(silver, fact, dims).join(F.broadcast(odd), "date_key", "left_semi")  # dates: bounded by the calendar
+    return (
+        rows.groupBy("date_key", "first_hash", "second_hash")
+        .agg(
+            F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).cast("bigint").alias("silver_rows"),
+            F.sum(F.when(F.col("side") == -1, 1).otherwise(0)).cast("bigint").alias("fact_rows"),
+        )
+        .where(F.col("silver_rows") != F.col("fact_rows"))
+    )
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -40,6 +40,9 @@ from roomledger.schema import (
 )
 
 
+ROW = "_row"  # of the barrier
+
+
 def _replace(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     """Replace some columns in place, keeping the column order (one projection)."""
     return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
@@ -71,6 +74,17 @@ def convert_types(df: DataFrame) -> DataFrame:
     return _replace(parsed, {c: whole_number(F.col(c), c) for c in INTEGER_COLUMNS})
 
 
+def evaluated_once(df: DataFrame) -> tuple[DataFrame, Column]:
+    """``df`` behind a barrier: filters and projections above it read its columns, not their expressions.
+
+    The optimizer pushes a filter below a projection by writing the projection's expressions into the
+    filter, which would parse the text of every filtered column twice. It does not push below a
+    projection that numbers its rows. The filter has to use the returned condition (always true), or
+    the unused number would be pruned and the barrier with it.
+    """
+    return df.withColumn(ROW, F.monotonically_increasing_id()), F.col(ROW) >= 0
+
+
 def add_arrival_date(df: DataFrame) -> DataFrame:
     """Month number from the English name, then the calendar date (NULL if impossible)."""
     month = month_number(F.col("arrival_date_month"))
@@ -134,12 +148,14 @@ def structurally_valid() -> Column:
 
 
 def filter_structural(df: DataFrame) -> DataFrame:
-    return df.where(structurally_valid())
+    typed, once = evaluated_once(df)
+    return typed.where(structurally_valid() & once).drop(ROW)
 
 
 def structural_rejects(df: DataFrame) -> DataFrame:
     """Rows removed by C1 (the reference drops them silently; kept here for inspection)."""
-    return df.where(~structurally_valid())
+    typed, once = evaluated_once(df)
+    return typed.where(~structurally_valid() & once).drop(ROW)
 
 
 def remove_duplicates(df: DataFrame) -> DataFrame:
@@ -174,6 +190,15 @@ def derived_bookings(raw: DataFrame) -> DataFrame:
     return derive(typed_bookings(raw))
 
 
+def processed(raw: DataFrame) -> DataFrame:
+    """The processed bookings (A3): filtered, without duplicates, with derived columns, texts as they are.
+
+    The original wrote these to its CSV; only the later load turned blanks into NULL and the status date
+    into a date.
+    """
+    return typed_bookings(raw).transform(filter_structural).transform(remove_duplicates).transform(derive)
+
+
 def build_silver(raw: DataFrame) -> DataFrame:
     """Raw text (missing tokens already NULL) -> silver bookings, 38 columns.
 
@@ -183,11 +208,4 @@ def build_silver(raw: DataFrame) -> DataFrame:
     happens after the shuffle, in the (parallel) reduce stage, on fewer rows and with a narrower
     shuffle. The structural rules are evaluated on the typed values directly.
     """
-    return (
-        typed_bookings(raw)
-        .transform(filter_structural)
-        .transform(remove_duplicates)
-        .transform(derive)
-        .transform(finalize_load)
-        .select(*SILVER_COLUMNS)
-    )
+    return processed(raw).transform(finalize_load).select(*SILVER_COLUMNS)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from roomledger.functions.measures import lead_time_band, mean2, money_mean2, money_sum, percent, sum_where
 from roomledger.operators.gold import Dimension
 from roomledger.operators.joins import small_side
+from roomledger.schema import LEAD_TIME_BANDS, OPEN_LEAD_TIME_BAND
 
 
 def _canceled() -> Column:
@@ -119,6 +120,82 @@ VIEWS = {
 }
 
 
+# ---------------------------------------------------------------------------------------------
+# The same views as SQL text, for publication beside the tables (A8). ``{table}`` stands for a table of
+# the published run; it is bound to that run's files when the views are opened.
+# ---------------------------------------------------------------------------------------------
+
+_PERCENT = "round(100.0D * {part} / nullif({whole}, 0), 2)"
+_MEAN = "round(sum(cast({x} AS double)) / nullif(count({x}), 0), 2)"
+_MONEY = "cast({x} AS decimal(28,10))"
+_MONEY_SUM = f"cast(sum({_MONEY}) AS double)"
+_MONEY_MEAN = f"cast(round(sum({_MONEY}) / cast(nullif(count({{x}}), 0) AS decimal(20,0)), 2) AS double)"
+
+
+def _count_if(predicate: str) -> str:
+    return f"cast(sum(CASE WHEN {predicate} THEN 1 ELSE 0 END) AS bigint)"
+
+
+def _sql_measures(*names: str) -> str:
+    canceled = _count_if("is_canceled = 1")
+    measures = {
+        "total_bookings": "count(1)",
+        "canceled_bookings": canceled,
+        "confirmed_bookings": _count_if("is_canceled = 0"),
+        "cancellation_rate": _PERCENT.format(part=canceled, whole="count(1)"),
+        "total_guests": "sum(total_guests)",
+        "total_nights": "sum(total_nights)",
+        "avg_nights_per_booking": _MEAN.format(x="total_nights"),
+        "avg_nights": _MEAN.format(x="total_nights"),
+        "avg_lead_time": _MEAN.format(x="lead_time"),
+        "avg_adr": _MONEY_MEAN.format(x="adr"),
+        "total_estimated_revenue": _MONEY_SUM.format(x="estimated_revenue"),
+        "avg_revenue_per_booking": _MONEY_MEAN.format(x="estimated_revenue"),
+    }
+    return ", ".join(f"{measures[name]} AS {name}" for name in names)
+
+
+def _sql_band() -> str:
+    cases = " ".join(f"WHEN lead_time <= {upper} THEN '{label}'" for upper, label in LEAD_TIME_BANDS)
+    return f"CASE {cases} ELSE '{OPEN_LEAD_TIME_BAND}' END"
+
+
+def view_definitions() -> dict[str, str]:
+    """SQL text of the business views V1-V5 over ``{fact_booking}`` and the dimensions."""
+    segment = _sql_measures(
+        "total_bookings", "canceled_bookings", "cancellation_rate", "total_nights", "total_guests", "avg_adr", "total_estimated_revenue"
+    )
+    same, changed = (f"reserved_room_type {sign} assigned_room_type" for sign in ("=", "<>"))
+    return {
+        "vw_booking_overview": "SELECT "
+        + _sql_measures(
+            "total_bookings", "canceled_bookings", "confirmed_bookings", "cancellation_rate", "total_guests", "total_nights",
+            "avg_nights_per_booking", "avg_lead_time", "avg_adr", "total_estimated_revenue", "avg_revenue_per_booking",
+        )
+        + " FROM {fact_booking}",
+        "vw_booking_by_lead_time": "SELECT lead_time_range, "
+        + _sql_measures(
+            "total_bookings", "canceled_bookings", "confirmed_bookings", "cancellation_rate", "avg_lead_time", "avg_adr", "avg_nights",
+            "total_nights", "total_estimated_revenue",
+        )
+        + f" FROM (SELECT *, {_sql_band()} AS lead_time_range FROM {{fact_booking}}) GROUP BY lead_time_range",
+        "vw_booking_seasonality_hotel": f"SELECT hotel, year, month_number, month_name, {segment} FROM {{fact_booking}} "
+        "JOIN {dim_date} USING (date_key) JOIN {dim_hotel} USING (hotel_key) GROUP BY hotel, year, month_number, month_name",
+        "vw_booking_by_channel": f"SELECT market_segment, distribution_channel, {segment} FROM {{fact_booking}} "
+        "JOIN {dim_channel} USING (channel_key) GROUP BY market_segment, distribution_channel",
+        "vw_room_match": "SELECT reserved_room_type, assigned_room_type, count(1) AS total_bookings, "
+        f"{_count_if(same)} AS matched_bookings, {_count_if(changed)} AS changed_bookings, "
+        f"{_PERCENT.format(part=_count_if(same), whole='count(1)')} AS match_rate, "
+        f"{_PERCENT.format(part=_count_if(changed), whole='count(1)')} AS change_rate FROM {{fact_booking}} "
+        "JOIN {dim_room} USING (room_key) GROUP BY reserved_room_type, assigned_room_type",
+    }
+
+
+def bind(definition: str, paths: dict[str, str]) -> str:
+    """A view definition over the parquet files of one published run."""
+    return definition.format(**{name: f"parquet.`{path}`" for name, path in paths.items()})
+
+
 def register_views(fact: DataFrame, dims: dict[str, Dimension]) -> dict[str, DataFrame]:
     """Publish every business view as a temp view for SQL users; error if none exist."""
     if not VIEWS:

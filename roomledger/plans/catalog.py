@@ -14,15 +14,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roomledger.operators import cube as K
 from roomledger.operators import gold as G
 from roomledger.operators import profile as P
 from roomledger.operators import quality as Q
 from roomledger.operators import silver as S
 from roomledger.operators import views as V
 from roomledger.plans import oracle as O
-from roomledger.schema import DIMENSION_SCHEMAS
+from roomledger.schema import DIMENSION_KEYS, DIMENSION_SCHEMAS
 from roomledger.session import stage, staging_path
-from roomledger.sources.csv import normalise_missing, read_raw_csv, write_csv
+from roomledger.sources.csv import normalise_missing, read_processed_csv, read_raw_csv, write_csv
 from roomledger.sources.fixture import raw_bookings as adapter_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +140,35 @@ def kpi_cards_sliced(spark, sf_dir):
     return V.kpi_cards(fact, dims, SLICERS)
 
 
+def kpi_cube(spark, sf_dir):
+    return K.with_rates(K.kpi_cube(K.cells(*_fact_and_dims(spark, sf_dir))))
+
+
+def kpi_cards_from_cube(spark, sf_dir):
+    """The sliced cards answered from the staged cube, without another look at the fact."""
+    cube = stage(K.kpi_cube(K.cells(*_fact_and_dims(spark, sf_dir))), "kpi-cube")
+    return K.cards_from_cube(cube, SLICERS)
+
+
+def silver_csv_round_trip(spark, sf_dir):
+    """Processed bookings -> CSV (A3) -> read back, blanks and all."""
+    path = staging_path(spark, "processed_csv")
+    write_csv(S.processed(raw(spark, sf_dir)), path)
+    return read_processed_csv(spark, path)
+
+
+def gold_content(spark, sf_dir):
+    s, dims = _gold(spark, sf_dir)
+    return Q.content_by_date(s, G.fact_rows(s, dims), dims)
+
+
+def dq_report(spark, sf_dir):
+    """The counting checks are taken while silver is written; the duplicate probe reads what was written."""
+    observed, checks = Q.observed(silver(spark, sf_dir))
+    written = stage(observed, "silver")
+    return Q.quality_report(written, counts=checks.get)
+
+
 def csv_round_trip(spark, sf_dir):
     """Raw text -> CSV files in the shared folder -> CSV source (A1-A3) -> silver."""
     path = staging_path(spark, "raw_csv")
@@ -166,6 +196,49 @@ def gold_reconciliation(spark, sf_dir):
     return Q.reconciliation(s, G.fact_rows(s, dims))
 
 
+# The same checks over tables with planted faults, which the pipeline's own tables cannot have: so that a
+# check which no longer finds anything is seen.
+
+
+def _planted(dims: dict[str, G.Dimension], change) -> dict[str, G.Dimension]:
+    return {name: G.Dimension(name, change(name, dim.df), dim.rows) for name, dim in dims.items()}
+
+
+def gold_key_uniqueness_planted(spark, sf_dir):
+    """Every third key occurs twice."""
+    _, dims = _gold(spark, sf_dir)
+    return Q.key_uniqueness(_planted(dims, lambda name, df: df.unionByName(df.where(F.col(DIMENSION_KEYS[name]) % 3 == 0))))
+
+
+def gold_not_null_planted(spark, sf_dir):
+    """Rows whose key leaves 1 when divided by 4 have lost every value."""
+    _, dims = _gold(spark, sf_dir)
+
+    def blank(name: str, df: DataFrame) -> DataFrame:
+        return df.select(*[F.when(F.col(DIMENSION_KEYS[name]) % 4 != 1, F.col(c)).alias(c) for c in df.columns])
+
+    return Q.not_null_conformance(_planted(dims, blank))
+
+
+def gold_orphans_planted(spark, sf_dir):
+    """Dimension rows whose key leaves 2 when divided by 5 are gone."""
+    fact, dims = _fact_and_dims(spark, sf_dir)
+    return Q.orphan_keys(fact, _planted(dims, lambda name, df: df.where(F.col(DIMENSION_KEYS[name]) % 5 != 2)))
+
+
+def gold_content_planted(spark, sf_dir):
+    """The rate of some bookings has changed; every count is as before."""
+    s, dims = _gold(spark, sf_dir)
+    fact = G.fact_rows(s, dims)
+    changed = fact.withColumn("adr", F.when(F.col("lead_time") % 50 == 3, F.col("adr") + 1).otherwise(F.col("adr")))
+    return Q.content_by_date(s, changed, dims)
+
+
+def postconditions_unfiltered(spark, sf_dir):
+    """The ETL's final assertions on rows that the structural filter has not seen."""
+    return Q.postconditions(S.derived_bookings(raw(spark, sf_dir)))
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "raw_bookings": raw,
@@ -178,6 +251,7 @@ def queries() -> dict[str, Query]:
         "structural_rejects": structural_rejects,
         "silver_bookings": silver,
         "csv_round_trip": csv_round_trip,
+        "silver_csv_round_trip": silver_csv_round_trip,
     }
     q.update({name: _dimension(name) for name in DIMENSION_SCHEMAS})
     q["fact_booking"] = fact_booking
@@ -187,18 +261,30 @@ def queries() -> dict[str, Query]:
     q["bookings_by_hotel"] = _dashboard(V.bookings_by_hotel)
     q["bookings_by_segment"] = _dashboard(V.bookings_by_segment)
     q["bookings_by_lead_band"] = _dashboard(V.bookings_by_lead_band)
+    for name in ("bookings_by_month", "bookings_by_hotel", "bookings_by_segment", "bookings_by_lead_band"):
+        q[f"{name}_sliced"] = _dashboard(lambda fact, dims, chart=getattr(V, name): chart(fact, dims, SLICERS))
+    q["kpi_cube"] = kpi_cube
+    q["kpi_cards_from_cube"] = kpi_cards_from_cube
     q["dq_volume"] = _on_silver(Q.volume)
     q["dq_nulls"] = _on_silver(Q.nulls)
     q["dq_duplicates_md5"] = _on_silver(Q.duplicates_md5)
     q["dq_duplicates_exact"] = _on_silver(Q.duplicates_exact)
     q["dq_ranges"] = _on_silver(Q.ranges)
     q["dq_consistency"] = _on_silver(Q.consistency)
-    q["dq_report"] = _on_silver(Q.quality_report)
+    q["dq_report"] = dq_report
     q["postconditions"] = _on_silver(Q.postconditions)
     q["gold_key_uniqueness"] = gold_key_uniqueness
     q["gold_not_null"] = gold_not_null
     q["gold_orphans"] = gold_orphans
     q["gold_reconciliation"] = gold_reconciliation
+    q["gold_content"] = gold_content
+    for planted in (
+        gold_key_uniqueness_planted, gold_not_null_planted, gold_orphans_planted, gold_content_planted, postconditions_unfiltered,
+    ):
+        q[planted.__name__] = planted
     q["column_profile"] = _on_silver(P.column_profile)
     q["numeric_profile"] = _on_silver(P.numeric_summary)
+    q["column_histograms"] = _on_silver(P.histograms)
+    q["numeric_anomalies"] = _on_silver(lambda silver: P.anomalies(silver).values)
+    q["numeric_anomaly_bounds"] = _on_silver(lambda silver: P.anomalies(silver).bounds)
     return q

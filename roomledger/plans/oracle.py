@@ -14,7 +14,6 @@ the checks. Dialect notes (Spark vs DuckDB) that the SQL spells out:
 
 from __future__ import annotations
 
-from roomledger.functions.parsing import BLANK_PATTERN, NUMERIC_PATTERN
 from roomledger.schema import (
     BOOKING_ORDER,
     DECIMAL_COLUMNS,
@@ -31,6 +30,10 @@ from roomledger.schema import (
     TEXT_COLUMNS,
 )
 
+# Spelled out here, so that the oracle does not follow the engine's own rules.
+NUMERIC_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+BLANK_PATTERN = r"^\s*$"
+
 
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -372,6 +375,88 @@ def _profile() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _numeric() -> list[str]:
+    return [c for c in SILVER_COLUMNS if c in INTEGER_COLUMNS + DECIMAL_COLUMNS] + [
+        "arrival_month_num", "total_nights", "total_guests", "estimated_revenue",
+    ]
+
+
+def _cells(select: str) -> str:
+    """The numeric cells of silver as (column_name, value) rows, then ``select``."""
+    cells = "\nUNION ALL ".join(
+        f"SELECT {lit(c)} AS column_name, CAST({c} AS DOUBLE) AS value FROM silver WHERE {c} IS NOT NULL" for c in _numeric()
+    )
+    lists = (
+        "SELECT column_name, list_sort(list(value)) AS l, min(value) AS low, max(value) AS high, count(*) AS total, "
+        "count(DISTINCT value) AS distinct_values, CAST(SUM(CAST(value AS DECIMAL(28,10))) AS DOUBLE) AS total_value "
+        "FROM cells GROUP BY column_name"
+    )
+    return with_ctes(select, extra=f"cells AS ({cells}),\nlists AS ({lists})")
+
+
+def _at(share: float, l: str = "l") -> str:  # noqa: E741
+    place = f"(CAST({share} AS DOUBLE) * (len({l}) - 1))"
+    low, high = (f"{l}[CAST({side}({place}) AS BIGINT) + 1]" for side in ("floor", "ceil"))
+    return f"({low} + ({high} - {low}) * ({place} - floor({place})))"
+
+
+def _numeric_profile() -> str:
+    names = ", ".join(f"({lit(c)})" for c in _numeric())
+    shares = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+    quantiles = ", ".join(f"{_at(share)} AS {name}" for name, share in shares.items())
+    return _cells(
+        f"SELECT n.column_name, CAST(coalesce(total, 0) AS BIGINT) AS rows, CAST(coalesce(distinct_values, 0) AS BIGINT) AS distinct_values, "
+        f'low AS "min", high AS "max", total_value / total AS mean, {quantiles} '
+        f"FROM (VALUES {names}) n(column_name) LEFT JOIN lists USING (column_name)"
+    )
+
+
+def _histograms(buckets: int = 10) -> str:
+    return _cells(f"""SELECT column_name, 'width' AS kind, CAST(k AS INTEGER) AS bucket,
+  low + k * ((high - low) / {buckets}) AS lower,
+  CASE WHEN k = {buckets - 1} OR high = low THEN high ELSE low + (k + 1) * ((high - low) / {buckets}) END AS upper,
+  CAST(count(value) AS BIGINT) AS rows, CAST(count(DISTINCT value) AS BIGINT) AS distinct_values
+FROM (SELECT *, unnest(range(CASE WHEN high = low THEN 1 ELSE {buckets} END)) AS k FROM lists) b
+LEFT JOIN (SELECT column_name AS c, value, CASE WHEN high = low THEN 0
+             ELSE least(CAST(floor((value - low) / (high - low) * {buckets}) AS INTEGER), {buckets - 1}) END AS own
+           FROM cells JOIN lists USING (column_name)) v ON c = column_name AND own = k
+GROUP BY column_name, k, low, high
+UNION ALL
+SELECT column_name, 'depth', CAST(bucket AS INTEGER), min(value), max(value), CAST(count(*) AS BIGINT), CAST(count(DISTINCT value) AS BIGINT)
+FROM (SELECT column_name, value, len(list_filter(ends, lambda e: e < value)) AS bucket FROM cells JOIN (
+        SELECT column_name, list(DISTINCT l[(k * total + {buckets - 1}) // {buckets}]) AS ends
+        FROM (SELECT *, unnest(range(1, {buckets + 1})) AS k FROM lists) GROUP BY column_name) USING (column_name))
+GROUP BY column_name, bucket""")
+
+
+def _anomalies(select: str) -> str:
+    return _cells(f"""SELECT * FROM (WITH middle AS (
+  SELECT column_name, total, {_at(0.25)} AS q1, {_at(0.5)} AS median, {_at(0.75)} AS q3 FROM lists
+), spread AS (
+  SELECT column_name, list_sort(list(abs(value - median))) AS d, CAST(SUM(CAST(abs(value - median) AS DECIMAL(28,10))) AS DOUBLE) AS distance
+  FROM cells JOIN middle USING (column_name) GROUP BY column_name
+), bounds AS (
+  SELECT column_name, CAST(total AS BIGINT) AS rows, q1, median, q3, {_at(0.5, 'd')} AS mad, distance / total AS mean_deviation,
+         q1 - CAST(1.5 AS DOUBLE) * (q3 - q1) AS lower_fence, q3 + CAST(1.5 AS DOUBLE) * (q3 - q1) AS upper_fence
+  FROM middle JOIN spread USING (column_name)
+), scored AS (
+  SELECT column_name, value, CASE WHEN mad > 0 THEN (value - median) * CAST(0.6745 AS DOUBLE) / mad
+           WHEN mean_deviation > 0 THEN (value - median) / (mean_deviation * CAST(1.253314 AS DOUBLE)) ELSE 0.0 END AS score,
+         value < lower_fence OR value > upper_fence AS outside_fences
+  FROM cells JOIN bounds USING (column_name)
+), found AS (
+  SELECT column_name, value, CAST(count(*) AS BIGINT) AS rows, score, outside_fences, abs(score) > 3.5 AS high_score
+  FROM scored WHERE outside_fences OR abs(score) > 3.5 GROUP BY ALL
+)
+{select})""")
+
+
+_ANOMALY_BOUNDS = """SELECT b.*, CAST(coalesce(f.fences, 0) AS BIGINT) AS rows_outside_fences,
+  CAST(coalesce(f.scores, 0) AS BIGINT) AS rows_with_high_score
+FROM bounds b LEFT JOIN (SELECT column_name, sum(rows) FILTER (WHERE outside_fences) AS fences, sum(rows) FILTER (WHERE high_score) AS scores
+                         FROM found GROUP BY column_name) f USING (column_name)"""
+
+
 _DIMS = {
     "dim_date": ("date_key", ["date_key", "full_date", "year", "month_number", "month_name", "day_of_month", "quarter"]),
     "dim_hotel": ("hotel_key", ["hotel_key", "hotel"]),
@@ -411,6 +496,68 @@ FROM (SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM valid_silver) AS valid_rows,
     }
 
 
+def _planted_checks() -> dict[str, str]:
+    """The gold checks over tables with the catalog's planted faults."""
+    uniq = "\nUNION ALL ".join(
+        f"SELECT {lit(d)} AS table_name, CAST(COUNT(*) AS BIGINT) AS duplicate_keys FROM (SELECT {k} FROM "
+        f"(SELECT {k} FROM {d} UNION ALL SELECT {k} FROM {d} WHERE {k} % 3 = 0) GROUP BY {k} HAVING COUNT(*) > 1)"
+        for d, (k, _) in _DIMS.items()
+    )
+    notnull = "\nUNION ALL ".join(
+        f"SELECT {lit(d)} AS table_name, {lit(c)} AS column_name, {count_where(f'{k} % 4 = 1 OR {c} IS NULL')} AS null_rows FROM {d}"
+        for d, (k, cols) in _DIMS.items()
+        for c in cols
+    )
+    orphans = "\nUNION ALL ".join(
+        f"SELECT {lit(k)} AS foreign_key, CAST(COUNT(*) AS BIGINT) AS orphan_rows FROM fact_rows f "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {d} x WHERE x.{k} = f.{k} AND x.{k} % 5 <> 2)"
+        for d, (k, _) in _DIMS.items()
+    )
+    return {
+        "gold_key_uniqueness_planted": with_ctes(uniq),
+        "gold_not_null_planted": with_ctes(notnull),
+        "gold_orphans_planted": with_ctes(orphans),
+        "gold_content_planted": _gold_content("CASE WHEN f.lead_time % 50 = 3 THEN f.adr + 1 ELSE f.adr END"),
+        "postconditions_unfiltered": with_ctes(
+            "SELECT " + ", ".join(f"{count_where(c + ' < 0')} AS negative_{c}" for c in _NONNEG) + " FROM derived"
+        ),
+    }
+
+
+def _gold_content(adr: str = "f.adr") -> str:
+    """Both sides' bookings compared value by value, without hashes."""
+    own = list(FACT_MEASURES)
+    members = {
+        "dim_hotel": ("hotel",), "dim_customer": ("country", "customer_type"), "dim_room": ("reserved_room_type", "assigned_room_type"),
+        "dim_channel": ("market_segment", "distribution_channel"),
+    }
+    spelled = ", ".join(f"{d}.{c}" for d, cs in members.items() for c in cs)
+    names = ", ".join(c for cs in members.values() for c in cs)
+    joins = " ".join(f"LEFT JOIN {d} ON {d}.{_DIMS[d][0]} = f.{_DIMS[d][0]}" for d in members)
+    return with_ctes(
+        "SELECT date_key, CAST(sum(s) AS BIGINT) AS silver_rows, CAST(sum(f) AS BIGINT) AS fact_rows, bool_and(s = f) AS same_content "
+        "FROM booked GROUP BY date_key",
+        extra=f"""both_sides AS (
+  SELECT CAST(strftime(arrival_date, '%Y%m%d') AS INTEGER) AS date_key, {", ".join(own)}, {names}, 1 AS s, 0 AS f
+  FROM valid_silver WHERE arrival_date IS NOT NULL AND hotel IS NOT NULL
+  UNION ALL SELECT f.date_key, {", ".join(adr if c == "adr" else "f." + c for c in own)}, {spelled}, 0, 1 FROM fact_rows f {joins}
+),
+booked AS (SELECT date_key, sum(s) AS s, sum(f) AS f FROM both_sides GROUP BY date_key, {", ".join(own)}, {names})""",
+    )
+
+
+KPI_CUBE = f"""SELECT full_date, customer_type, hotel, distribution_channel,
+  CAST(GROUPING(full_date, customer_type, hotel, distribution_channel) AS INTEGER) AS level, COUNT(*) AS total_bookings,
+  {sum_where(_CANCELED)} AS canceled_bookings, {money_mean2('adr')} AS avg_adr, {mean2('lead_time')} AS avg_lead_time,
+  {money_sum('estimated_revenue')} AS total_estimated_revenue, CAST(SUM(total_nights) AS BIGINT) AS total_nights,
+  {percent(sum_where(_CANCELED), 'COUNT(*)')} AS cancellation_rate
+FROM (SELECT f.is_canceled, f.adr, f.lead_time, f.estimated_revenue, f.total_nights, d.full_date, c.customer_type, h.hotel, ch.distribution_channel
+      FROM fact_rows f JOIN (SELECT DISTINCT date_key, full_date FROM dim_date) d ON d.date_key = f.date_key
+      JOIN dim_customer c ON c.customer_key = f.customer_key JOIN dim_hotel h ON h.hotel_key = f.hotel_key
+      JOIN dim_channel ch ON ch.channel_key = f.channel_key)
+GROUP BY CUBE (full_date, customer_type, hotel, distribution_channel)"""
+
+
 def _structural_rejects() -> str:
     rules = [(c, f"COALESCE({c} >= 0, FALSE)") for c in _NONNEG]
     parts = [
@@ -439,6 +586,7 @@ def oracle_sql() -> dict[str, str]:
         "structural_rejects": with_ctes(_structural_rejects()),
         "silver_bookings": with_ctes("SELECT * FROM silver"),
         "csv_round_trip": with_ctes("SELECT * FROM silver"),
+        "silver_csv_round_trip": with_ctes("SELECT * FROM deduped"),
         "dim_date": with_ctes("SELECT * FROM dim_date"),
         "dim_hotel": with_ctes("SELECT * FROM dim_hotel"),
         "dim_customer": with_ctes("SELECT * FROM dim_customer"),
@@ -470,6 +618,7 @@ def oracle_sql() -> dict[str, str]:
             f"{money_sum('estimated_revenue')} AS total_estimated_revenue, CAST(SUM(total_nights) AS BIGINT) AS total_nights, "
             f"{percent(sum_where(_CANCELED), 'COUNT(*)')} AS cancellation_rate FROM {SLICED_FACT} s"
         ),
+        "kpi_cube": with_ctes(KPI_CUBE),
         "bookings_by_month": with_ctes(
             f"SELECT d.year, d.month_number, d.month_name, {_segment_measures()} FROM fact_rows f "
             "JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.month_number, d.month_name"
@@ -509,6 +658,16 @@ def oracle_sql() -> dict[str, str]:
             "SELECT " + ", ".join(f"{count_where(c + ' < 0')} AS negative_{c}" for c in _NONNEG) + " FROM silver"
         ),
         "column_profile": with_ctes(_profile()),
+        "numeric_profile": _numeric_profile(),
+        "column_histograms": _histograms(),
+        "numeric_anomalies": _anomalies("SELECT * FROM found"),
+        "numeric_anomaly_bounds": _anomalies(_ANOMALY_BOUNDS),
     }
     q.update(_gold_checks())
+    q["gold_content"] = _gold_content()
+    q.update(_planted_checks())
+    q["kpi_cards_from_cube"] = q["kpi_cards_sliced"]
+    for name in ("bookings_by_month", "bookings_by_hotel", "bookings_by_segment", "bookings_by_lead_band"):
+        source = "FROM fact_rows" + (" f" if name != "bookings_by_lead_band" else "")
+        q[f"{name}_sliced"] = q[name].replace(f"{source} ", f"FROM {SLICED_FACT} f ", 1)
     return q

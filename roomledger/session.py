@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,7 +61,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the checkpoint folder for a materialised intermediate table."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/staged/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/staged/{name}-{uuid.uuid4().hex}"
+    if _WORK:
+        _WORK[-1].append(path)
+    return path
+
+
+_WORK: list[list[str]] = []  # staged paths of the open ``workspace`` blocks
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Staged tables made inside the block are removed at its end, also after an error.
+
+    For jobs that write their result before the block ends; a frame that reads a staged table
+    cannot be used afterwards.
+    """
+    _WORK.append([])
+    try:
+        yield
+    finally:
+        for path in _WORK.pop():
+            remove(spark, path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that ``path`` lives on."""
+    return hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    file_system(spark, path).delete(hadoop_path(spark, path), True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roomledger.functions.parsing import clean_column_name, missing_tokens, null_if_missing
-from roomledger.schema import RAW_COLUMNS
+from roomledger.schema import RAW_COLUMNS, SILVER_SCHEMA
 
 
 BROKEN = "_broken_record"
@@ -28,6 +28,15 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     right, but a file is one task, where otherwise files are split. Names are cleaned (B1) and columns are
     selected by name, so their order does not matter.
     """
+    df = read_csv_text(spark, path, multi_line)
+    missing = [c for c in RAW_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"raw file lacks columns: {missing}")
+    return normalise_missing(df.select(*RAW_COLUMNS))
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Every cell of CSV file(s) with a header row, as text; an empty cell is NULL. Broken rows stop the job."""
     options = {"header": "true", "quote": '"', "escape": '"', "multiLine": str(multi_line).lower()}
     names = spark.read.options(**options).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in (*names, BROKEN)])
@@ -36,11 +45,15 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     ).csv(path, schema=schema)
     message = F.concat(F.lit("CSV row with other fields than the header: "), F.substring(BROKEN, 1, 200))
     df = df.filter(F.when(F.col(BROKEN).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-    df = df.drop(BROKEN).toDF(*[clean_column_name(c) for c in names])
-    missing = [c for c in RAW_COLUMNS if c not in df.columns]
-    if missing:
-        raise ValueError(f"raw file lacks columns: {missing}")
-    return normalise_missing(df.select(*RAW_COLUMNS))
+    return df.drop(BROKEN).toDF(*[clean_column_name(c) for c in names])
+
+
+def read_processed_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Processed bookings as ``write_csv`` wrote them, typed; texts keep their blanks, the status date is text."""
+    df = read_csv_text(spark, path, multi_line)
+    return df.select(
+        *[F.col(f.name) if f.name == "reservation_status_date" else F.col(f.name).cast(f.dataType) for f in SILVER_SCHEMA.fields]
+    )
 
 
 def normalise_missing(df: DataFrame) -> DataFrame:
