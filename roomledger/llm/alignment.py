@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.llm.common import id_text, worker_cache
+from roomledger.llm.common import frame, id_text, worker_cache
 from roomledger.llm.vocabularies import ByteLevel, Pieces
 from roomledger.session import default_parallelism, stage
 
@@ -239,7 +239,6 @@ def runs_of(own: Vocabularies, pairs: np.ndarray, docs: np.ndarray) -> Iterator[
 
 def encode_runs(docs: DataFrame, a_path: str, pattern: str, b_path: str, radixes: int, with_groups: bool = False) -> DataFrame:
     """Rows of documents (``radix`` null) and of runs (``radix`` set), of each task and flush."""
-    names = [c.split()[0] for c in ENCODED.split(", ")]
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -247,9 +246,6 @@ def encode_runs(docs: DataFrame, a_path: str, pattern: str, b_path: str, radixes
         own = worker_cache(("align", a_path, b_path, radixes), lambda: Vocabularies(a_path, pattern, b_path, radixes))
         task, run, place, links = TaskContext.get().partitionId(), 0, 0, []
 
-        def frame(rows: list[tuple]) -> pd.DataFrame:
-            return pd.DataFrame(rows, columns=names).astype({n: "Int64" for n in names if n in INTEGERS})
-
         def documents(part: pd.DataFrame) -> list[tuple]:
             nonlocal place
             found = own.encode(part["text"].tolist())
@@ -280,20 +276,17 @@ def encode_runs(docs: DataFrame, a_path: str, pattern: str, b_path: str, radixes
         for batch in batches:
             together = (batch["text"].str.len().cumsum() // TOGETHER).to_numpy()
             for n in np.unique(together):
-                yield frame(documents(batch[together == n]))
+                yield frame(documents(batch[together == n]), ENCODED)
                 if sum(len(pairs) for pairs, _ in links) >= FLUSH:
-                    yield frame(flush())
+                    yield frame(flush(), ENCODED)
         if links:
-            yield frame(flush())
+            yield frame(flush(), ENCODED)
 
     # Pandas would read a column of longs with nulls as doubles, so null ids travel as a flag.
     rows = id_text(docs).select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "text")
     return rows.mapInPandas(encode, ENCODED)
 
 
-INTEGERS = {c.split()[0] for c in ENCODED.split(", ") if c.split()[1] in ("int", "long")}
-
-
 # --- pass 2: runs to totals ---------------------------------------------------------------------------------
 
 
@@ -373,8 +366,8 @@ def pair_counts(encoded: DataFrame, a_path: str, pattern: str, b_path: str, radi
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = worker_cache(("align", a_path, b_path, radixes), lambda: Vocabularies(a_path, pattern, b_path, radixes))
         for batch in batches:
-            for frame in (frame for data in batch["pairs"] for frame in frames_of(data)):
-                pairs, totals, best = unblock(frame)
+            for block in (block for data in batch["pairs"] for block in frames_of(data)):
+                pairs, totals, best = unblock(block)
                 a, b = own.ids(pairs)
                 yield pd.DataFrame({"a_id": a, "b_id": b, "links": totals.astype(np.int64), "is_best": best.astype(bool)})
 
@@ -428,7 +421,6 @@ def contributions(encoded: DataFrame, totals: DataFrame) -> DataFrame:
 
 def add_up(encoded: DataFrame, sums: DataFrame) -> DataFrame:
     """The documents' rows with the sums of their run."""
-    names = [c.split()[0] for c in RESULT.split(", ")]
     plain = ["place", "no_id", "doc_id", "n_a", "n_b", "n_links", "groups_sha256", "groups"]
     docs = encoded.where(F.col("radix").isNull()).select("task", "run", *plain, F.lit(None).cast("binary").alias("sums"))
     docs = docs.withColumn("place", F.coalesce("place", F.lit(-1)))
@@ -452,7 +444,7 @@ def add_up(encoded: DataFrame, sums: DataFrame) -> DataFrame:
                     continue
                 best, count = total[:, place].tolist() if place >= 0 else (0, 0)
                 rows.append((None if no_id else doc_id, n_a, n_b, n_links, n_links, best, count, digest, groups))
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            yield frame(rows, RESULT)
 
     # A run has a bounded number of links, so its documents and sums are a small group.
     both = docs.unionByName(parts).repartition("task", "run").sortWithinPartitions("task", "run", "place")

@@ -26,6 +26,20 @@ def digest(column: Column) -> Column:
     return F.sha2(column.cast("binary"), 256)
 
 
+def frame(rows: list[tuple], schema: str):
+    """A pandas frame of ``rows`` for a schema like ``a long, b string``; whole numbers stay exact beside nulls.
+
+    (Left to itself pandas reads integers beside nulls as doubles, which loses digits beyond 2**53.)
+    """
+    import pandas as pd
+
+    fields = [field.split() for field in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    return pd.DataFrame(
+        {n: pd.array(c, dtype="Int64") if kind in ("int", "long") else list(c) for (n, kind), c in zip(fields, columns, strict=True)}
+    )
+
+
 class Recent:
     """A bounded cache of two generations: before a batch that finds the young one full, the old one goes."""
 

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomledger.llm.common import id_text, worker_cache
+from roomledger.llm.common import frame, id_text, worker_cache
 from roomledger.llm.vocabularies import ByteLevel
 from roomledger.operators.numbering import ascending, number_large
 from roomledger.session import stage
@@ -91,16 +91,10 @@ def fill(
 ) -> DataFrame:
     """Step 1: one row per piece; ``sequence_id`` is null where the task could not fill the sequence."""
     schema = PIECE + (", ids array<int>" if with_ids else "")
-    names = [c.split()[0] for c in schema.split(", ")]
-    nullable = {"doc_id": "Int64", "sequence_id": "Int64", "offset": "Int64"}
 
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        # A piece is (doc_id, start, length, crc, doc_tokens, share[, ids]), then sequence and offset.
-        order = [*range(6), 7, 8, 6] if with_ids else [*range(8)]
-        columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-        return pd.DataFrame(
-            {n: pd.array(columns[i], dtype=nullable.get(n, "int64")) if n != "ids" else list(columns[i]) for n, i in zip(names, order, strict=True)}
-        )
+    def ordered(rows: list[tuple]) -> list[tuple]:
+        """The filler puts sequence and offset behind the ids, the schema before them."""
+        return [(*row[:6], *row[7:], row[6]) for row in rows] if with_ids else rows
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -122,9 +116,9 @@ def fill(
                     rows += filler.add(share, piece)
                     start += length
                     if len(rows) >= ROWS:
-                        yield frame(rows)
+                        yield frame(ordered(rows), schema)
                         rows = []
-        yield frame(rows + filler.rest())
+        yield frame(ordered(rows + filler.rest()), schema)
 
     # Pandas would read a column of longs with nulls as doubles, so null ids travel as a flag.
     rows = id_text(docs).select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "text")

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomledger.llm.common import worker_cache
+from roomledger.llm.common import frame, worker_cache
 
 INSERT, DELETE, REROLE, TRUNCATED = 5, 2, 1, 5  # costs
 BLANKS = " \t\n\v\f\r"
@@ -272,22 +272,14 @@ def conversations(batches: Iterator[pd.DataFrame]) -> Iterator[Conversation]:
 
 def in_batches(rows: Iterator[tuple], schema: str, size: int, weight) -> Iterator[pd.DataFrame]:
     """Frames of ``schema`` whose rows weigh about ``size`` together."""
-    names, kinds = zip(*(c.split() for c in schema.split(", ")), strict=True)
-
-    def frame(part: list[tuple]) -> pd.DataFrame:
-        columns = list(zip(*part, strict=True)) if part else [()] * len(names)
-        return pd.DataFrame(
-            {n: pd.array(c, dtype="Int64") if k == "long" else list(c) for n, k, c in zip(names, kinds, columns, strict=True)}
-        )
-
     part, total = [], 0
     for row in rows:
         part.append(row)
         total += weight(row)
         if total >= size:
-            yield frame(part)
+            yield frame(part, schema)
             part, total = [], 0
-    yield frame(part)
+    yield frame(part, schema)
 
 
 def audit(turns: DataFrame) -> DataFrame:
