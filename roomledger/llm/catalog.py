@@ -23,6 +23,7 @@ from roomledger.llm import (
     toxicity,
 )
 from roomledger.llm.common import table
+from roomledger.llm.repair_sql import REPAIR_SQL
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -114,7 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express (the others are tested against brute force)."""
-    return {"op4_chat_format": CHAT_SQL}
+    return {"op4_chat_format": CHAT_SQL, "op12_conversation_repair": REPAIR_SQL}
 
 
 CHAT_SQL = f"""
