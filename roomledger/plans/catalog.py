@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger.operators import cube as K
+from roomledger.operators import distinct as B
 from roomledger.operators import gold as G
 from roomledger.operators import profile as P
 from roomledger.operators import quality as Q
@@ -157,6 +158,14 @@ def silver_csv_round_trip(spark, sf_dir):
     return read_processed_csv(spark, path)
 
 
+def distinct_numbers(spark, sf_dir):
+    """Distinct values of silver's whole-number and date columns, merged from the bitmaps of two halves of it."""
+    s = staged_silver(spark, sf_dir)
+    early = F.col("arrival_date") < F.lit("1995-06-01").cast("date")
+    halves = [s.where(early), s.where(~F.coalesce(early, F.lit(False)))]
+    return B.counts(B.merge([B.state(half) for half in halves]), B.whole_columns(s))
+
+
 def gold_content(spark, sf_dir):
     s, dims = _gold(spark, sf_dir)
     return Q.content_by_date(s, G.fact_rows(s, dims), dims)
@@ -283,6 +292,7 @@ def queries() -> dict[str, Query]:
     ):
         q[planted.__name__] = planted
     q["column_profile"] = _on_silver(P.column_profile)
+    q["distinct_numbers"] = distinct_numbers
     q["numeric_profile"] = _on_silver(P.numeric_summary)
     q["column_histograms"] = _on_silver(P.histograms)
     q["numeric_anomalies"] = _on_silver(lambda silver: P.anomalies(silver).values)

@@ -457,6 +457,17 @@ FROM bounds b LEFT JOIN (SELECT column_name, sum(rows) FILTER (WHERE outside_fen
                          FROM found GROUP BY column_name) f USING (column_name)"""
 
 
+def _distinct_numbers() -> str:
+    columns = [c for c in SILVER_COLUMNS if c in INTEGER_COLUMNS] + [
+        "reservation_status_date", "arrival_month_num", "arrival_date", "total_nights", "total_guests",
+    ]
+    return with_ctes(
+        "\nUNION ALL ".join(
+            f"SELECT {lit(c)} AS column_name, CAST(COUNT(DISTINCT {c}) AS BIGINT) AS distinct_values FROM silver" for c in columns
+        )
+    )
+
+
 _DIMS = {
     "dim_date": ("date_key", ["date_key", "full_date", "year", "month_number", "month_name", "day_of_month", "quarter"]),
     "dim_hotel": ("hotel_key", ["hotel_key", "hotel"]),
@@ -658,6 +669,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT " + ", ".join(f"{count_where(c + ' < 0')} AS negative_{c}" for c in _NONNEG) + " FROM silver"
         ),
         "column_profile": with_ctes(_profile()),
+        "distinct_numbers": _distinct_numbers(),
         "numeric_profile": _numeric_profile(),
         "column_histograms": _histograms(),
         "numeric_anomalies": _anomalies("SELECT * FROM found"),

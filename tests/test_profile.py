@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 from conftest import BASE_ROW, raw_frame
+from pyspark.sql import functions as F
 
 from roomledger.operators import order_statistics as order
 from roomledger.operators import profile as P
@@ -135,3 +136,19 @@ def test_empty_table(table):
     assert {r.rows for r in P.numeric_summary(none).collect()} == {0}
     assert P.histograms(none).count() == 0
     assert P.anomalies(none).values.count() == P.anomalies(none).bounds.count() == 0
+
+
+def test_distinct_bitmaps_merge_across_runs(spark):
+    from roomledger.operators import distinct as B
+
+    rng = random.Random(2)
+    wide = [None, 0, -1, 1, 2**40, -(2**40), 32768, 32767, -32768, *(rng.randint(-70000, 70000) for _ in range(3000))]
+    rows = [(rng.choice(wide), rng.randint(0, 3), None) for _ in range(4000)]
+    frame = spark.createDataFrame(rows, "wide long, few int, none long").withColumn("day", F.date_add(F.lit("1969-12-30").cast("date"), F.col("few")))
+    runs = frame.randomSplit([1.0, 2.0, 1.0], seed=4)
+    states = [B.state(run) for run in runs]
+    want = {c: len({r[c] for r in frame.collect()} - {None}) for c in frame.columns}
+    for merged in (B.merge(states), B.merge([*states, states[1], frame_state := B.state(frame)]), frame_state):
+        assert {r.column_name: r.distinct_values for r in B.counts(merged, frame.columns).collect()} == want
+    assert B.merge(states).where("column_name = 'few'").count() <= 2  # however many rows and tasks
+    assert {r.distinct_values for r in B.counts(B.state(frame.where("false")), frame.columns).collect()} == {0}
