@@ -12,9 +12,13 @@ which the files go: it runs on any store Spark can write to and commits each tas
 when an executor is lost and the task runs again.
 
 Files hold documents in ascending id order (nulls first): one range shuffle on (id, input position),
-so a repeated id is split as well. The index (file, offset, length, id, start, count) is made by
-scanning the files, verifying both checksums of each record, and is what a shuffled reader joins its
-permuted document list with.
+so a repeated id is split as well. Their number follows the measured bytes of text (``FILE_BYTES`` each at most),
+so a file stays small enough to be read whole by a task, whatever the size of the corpus. The index (file,
+offset, length, id, start, count) is made by scanning the files where they lie, verifying both checksums of each
+record, and is what a shuffled reader joins its permuted document list with.
+
+Texts are encoded as the tokenizers library does by default: a string of an added token inside a text becomes
+that token's id.
 
 Defined results: null text is empty (a record with only the end id); repeated rows are records of
 their own; an empty table gives no record; extra columns are ignored.
@@ -25,14 +29,15 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roomledger.llm.common import Recent, id_text, worker_cache
+from roomledger.llm.common import frame as rows_frame
+from roomledger.llm.common import id_text, worker_cache
+from roomledger.llm.vocabularies import WordEnds
 from roomledger.session import default_parallelism, stage, staging_path
 
 HEAD, HEAD_SIZE = "<QI", 12
@@ -40,7 +45,7 @@ TAIL, TAIL_SIZE = "<I", 4
 IDENT, IDENT_SIZE = "<qB", 9
 NULL_ID, WIDE = 1, 2
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked-checksum formats
-CACHE_ENTRIES = 250_000  # chunks of each generation whose ids a worker keeps
+FILE_BYTES = 128 << 20  # bytes of text in one file
 INDEX_SCHEMA = (
     "file string, record long, offset long, length long, doc_id long, in_file_start long, n_tokens long, ids_crc32 long"
 )
@@ -72,71 +77,46 @@ def unframe(data: memoryview, offset: int) -> tuple[int | None, np.ndarray, int]
     return (None if flags & NULL_ID else doc_id), ids, start + size + TAIL_SIZE + 1
 
 
-class ChunkEncoder:
-    """Encodes texts with the tokenizer library, each distinct space-separated chunk once.
-
-    The word tokenizer drops white space before it splits, so a text's ids are the ids of its chunks
-    in order. An ASCII chunk is lower-cased first (the tokenizer does so itself), and a final comma or
-    full stop after letters is cut off, as the tokenizer always splits there; what then is new goes to
-    the library in one call per batch.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.kind = np.dtype("<u4" if self.wide else "<u2")
-        self.chunks, self.cores = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
-
-    def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        known = self.chunks.fresh()
-        parts = {chunk: cores_of(chunk) for chunk in self.chunks.missing(set(chain.from_iterable(split)))}
-        cores = self.cores.fresh()
-        fresh = self.cores.missing(set(chain.from_iterable(parts.values())))
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            for core, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                cores[core] = np.array(found.ids, dtype=self.kind).tobytes()
-        known.update((chunk, b"".join([cores[c] for c in own])) for chunk, own in parts.items())
-        end = np.array([end_id], dtype=self.kind).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, chunks)) + end, dtype=self.kind) for chunks in split]
-
-
-def cores_of(chunk: str) -> tuple[str, ...]:
-    """Parts of a chunk without white space whose ids, put together, are the chunk's."""
-    if chunk.isascii():
-        chunk = chunk.lower()
-        if chunk[-1:] in (",", ".") and chunk[:-1].isalpha():
-            return chunk[:-1], chunk[-1]
-    return (chunk,)
+def file_count(docs: DataFrame, text_col: str = "text") -> int:
+    """As many files as the session has shuffle partitions, or as the text's bytes ask for."""
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(default_parallelism(docs.sparkSession), -(-size // FILE_BYTES))
 
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, files: int | None = None) -> None:
     """Encode whole texts, append ``end_id`` to each and write the record files under ``path``."""
     rows = id_text(docs, spread=False).withColumn("_position", F.monotonically_increasing_id())
     order = [F.col("doc_id").asc_nulls_first(), F.col("_position")]
-    ranged = rows.repartitionByRange(files or default_parallelism(docs.sparkSession), *order)
+    ranged = rows.repartitionByRange(files or file_count(docs), *order)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = worker_cache(("chunk_encoder", tokenizer_path), lambda: ChunkEncoder(tokenizer_path))
+        encoder = worker_cache(("word_ends", tokenizer_path), lambda: WordEnds(tokenizer_path))
+        wide = encoder.size > 1 << 16
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.iloc[at : at + 1000]
-                frames = [
-                    frame(None if null else int(i), ids, encoder.wide)
-                    for i, null, ids in zip(
-                        part["doc_id"], part["doc_id"].isna(), encoder.encode(part["text"].tolist(), end_id), strict=True
-                    )
-                ]
-                yield pd.DataFrame({"frame": frames})
-
-    framed = ranged.sortWithinPartitions(*order).select("doc_id", "text").mapInPandas(encode, "frame binary")
+                yield pd.DataFrame(
+                    {
+                        "frame": [
+                            frame(None if no_id else doc_id, np.append(encoder.encode(text), np.uint32(end_id)), wide)
+                            for doc_id, no_id, text in zip(part["doc_id"].tolist(), part["no_id"].tolist(), part["text"], strict=True)
+                        ]
+                    }
+                )
+
+    # Pandas would read a column of longs with nulls as doubles, so null ids travel as a flag.
+    flagged = ranged.sortWithinPartitions(*order).select(
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "text"
+    )
+    framed = flagged.mapInPandas(encode, "frame binary")
     framed.select(F.col("frame").cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
+def record_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content) of the record files; a file is one task's to read, and none is shuffled."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+
+
 def build_index(spark: SparkSession, path: str) -> DataFrame:
     """Scan and verify the record files; one index row per record, staged as a table of its own."""
 
@@ -149,12 +129,9 @@ def build_index(spark: SparkSession, path: str) -> DataFrame:
                     wide = ids.astype("<u4").tobytes()
                     rows.append((name, len(rows), offset, after - offset, doc_id, start, len(ids), zlib.crc32(wide)))
                     offset, start = after, start + len(ids)
-                index = pd.DataFrame(rows, columns=[c.split()[0] for c in INDEX_SCHEMA.split(", ")])
-                yield index.astype({"doc_id": "Int64"})
+                yield rows_frame(rows, INDEX_SCHEMA)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    files = files.repartition(F.col("path"))
-    found = stage(files.mapInPandas(scan, INDEX_SCHEMA), "record-index")
+    found = stage(record_files(spark, path).mapInPandas(scan, INDEX_SCHEMA), "record-index")
     # One row per file: the running total over files is a window over a table bounded by their number.
     totals = found.groupBy("file").agg(F.sum("n_tokens").alias("_tokens"))
     before = F.sum("_tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
@@ -163,25 +140,36 @@ def build_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, index: DataFrame, path: str, seed: int = 0) -> DataFrame:
-    """(position, doc_id, ids): the records cut out of their files by the index, in an order shuffled by ``seed``.
+    """(position, doc_id, ids): the indexed records cut out of their files, in an order shuffled by ``seed``.
 
-    ``position`` hashes a record's place and the seed; a reader takes a range of positions. Each file
-    is read once and its records' bytes are cut out in the scan, so only records are shuffled.
+    ``position`` hashes a record's place and the seed; a reader takes a range of positions. Each file is read
+    once where it lies and only its records are shuffled, first to their index rows, then to their positions.
     """
-    places = index.select("file", "offset", "length")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    cut = F.substring("content", F.col("offset").cast("int") + 1, F.col("length").cast("int"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"], strict=True):
+                data, offset, rows = memoryview(content), 0, []
+                while offset < len(data):
+                    size = struct.unpack_from(HEAD, data, offset)[0]
+                    after = offset + HEAD_SIZE + size + TAIL_SIZE + 1
+                    rows.append((name, offset, bytes(data[offset:after])))
+                    offset = after
+                yield rows_frame(rows, "file string, offset long, record binary")
+
+    records = record_files(spark, path).mapInPandas(cut, "file string, offset long, record binary")
+    pieces = index.select("file", "offset").join(records, ["file", "offset"])
     position = F.xxhash64("file", "offset", F.lit(seed)).alias("position")
-    pieces = files.select(F.col("path").alias("file"), "content").join(places, "file").select(position, cut.alias("record"))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [unframe(memoryview(record), 0) for record in batch["record"]]
-            ids = [ids.astype(np.int64) for _, ids, _ in found]
-            doc_ids = pd.array([doc_id for doc_id, _, _ in found], dtype="Int64")
-            yield pd.DataFrame({"position": batch["position"].to_numpy(), "doc_id": doc_ids, "ids": ids})
+            rows = []
+            for place, record in zip(batch["position"].tolist(), batch["record"], strict=True):
+                doc_id, ids, _ = unframe(memoryview(record), 0)
+                rows.append((place, doc_id, ids.astype(np.int64)))
+            yield rows_frame(rows, "position long, doc_id long, ids array<long>")
 
-    return pieces.orderBy("position").mapInPandas(parse, "position long, doc_id long, ids array<long>")
+    return pieces.select(position, "record").orderBy("position").mapInPandas(parse, "position long, doc_id long, ids array<long>")
 
 
 def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
