@@ -164,8 +164,14 @@ def code_bits(count: int, radius: int) -> int:
 
 
 def links(distinct: DataFrame, count: int, distance: int) -> DataFrame:
-    """a < b (as unsigned numbers): forest links between fingerprints at most ``distance`` bits apart."""
-    radius = (distance + 1) // 2
+    """a < b (as unsigned numbers): forest links between fingerprints at most ``distance`` bits apart.
+
+    Two members of one variant are at most twice the radius apart, so all of them link to its smallest
+    when that is the distance. An odd distance lies between two radii, where that does not hold: it is refused.
+    """
+    if distance < 0 or distance % 2:
+        raise ValueError("the distance must be an even number of bits")
+    radius = distance // 2
     bits = code_bits(count, radius)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
