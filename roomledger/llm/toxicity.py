@@ -245,7 +245,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on a bounded sample of labelled rows outside the held-out fold."""
+    """Fit on a bounded sample of labelled rows outside the held-out fold.
+
+    An id counts once, with the text of the smallest hash where rows repeat it, so the sample is bounded by
+    ``SAMPLE`` ids of at most ``LONGEST`` characters, however many rows carry one id.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -254,10 +258,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     share = F.lit(0.0)
     for label, most in SAMPLE.items():
         share = F.when(F.col("toxic") == label, min(1.0, most / max(1, sizes.get(label, 0)))).otherwise(share)
-    chosen = known.filter(place < share).limit(2 * sum(SAMPLE.values()))
+    chosen = known.filter(place < share).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sum(SAMPLE.values()))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = rows.filter(F.length("text") <= LONGEST).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    sample = found.dropDuplicates(["text"]).collect()  # bounded by SAMPLE and LONGEST
+    found = rows.filter(F.length("text") <= LONGEST).join(F.broadcast(chosen), "doc_id")
+    once = found.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.max("toxic").alias("toxic"))
+    sample = once.select("text", "toxic").dropDuplicates(["text"]).collect()  # bounded by SAMPLE and LONGEST
     return fit([row.text for row in sample], [row.toxic for row in sample], sizes)
 
 
