@@ -7,12 +7,15 @@ ordinary ones do not have. The multinomial regression is Spark ML's, fitted on o
 to calibrate, on all of it to predict: the least probability at which a family counts is the smallest
 on a grid that keeps the other half's unknown and ordinary paragraphs out of every family.
 
-Scan. Every paragraph (line) of every text is cut to words, its unigrams and bigrams are exploded and
+Scan. Every paragraph of every text is cut to words, its unigrams and bigrams are exploded and
 joined, by hash, with the small broadcast table of known n-grams; only matches go on, so the shuffle
-is in proportion to licence-like text. Sums of weights per paragraph give the softmax. A predicted
-family is confirmed by comparing the paragraph with the family's templates: at least ``CONTAINED`` of a
-template's distinct bigrams must occur in it. Paragraphs with licence features that are confirmed for no
-family, and are not ordinary by the model, count as unknown.
+is in proportion to licence-like text. A paragraph ends at a blank line, so a notice may be wrapped over lines;
+its lines are taken together. Sums of weights per paragraph give the softmax.
+A paragraph that is predicted to be of a family is confirmed by comparing it with the templates: at least
+``CONTAINED`` of a template's distinct bigrams must occur in it, and the words that decide between the family
+and its relatives (name, version, variant: ``DECIDING``). Several notices in one paragraph are each confirmed by
+their own templates. Paragraphs with licence features that are confirmed for no family, and are not ordinary by
+the model, count as unknown.
 
 Defined results: null and empty texts have no notices; repeated rows (same id and text) each give a
 row with the same figures; a null doc_id is kept; an empty table gives an empty result; extra columns
@@ -29,7 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger.llm.common import id_text
-from roomledger.llm.licence_examples import ORDINARY, SURROUNDINGS, TEMPLATES, UNKNOWN
+from roomledger.llm.licence_examples import DECIDING, ORDINARY, SURROUNDINGS, TEMPLATES, UNKNOWN
+from roomledger.session import stage
 
 FAMILIES = tuple(TEMPLATES)
 CLASSES = (*FAMILIES, "unknown", "none")
@@ -39,6 +43,13 @@ LONGEST_SAMPLED = 2000  # characters; longer paragraphs are not used for fitting
 GRID = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
 
+BLANK_LINE = "\n[ \t\r]*\n\\s*"
+
+
+def paragraphs(text: Column) -> Column:
+    return F.split(text, BLANK_LINE)
+
+
 def words(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
     return F.array_remove(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), "")
@@ -81,11 +92,11 @@ def examples(spark: SparkSession) -> DataFrame:
 
 
 def ordinary_sample(docs: DataFrame) -> DataFrame:
-    """A bounded sample of the corpus' paragraphs without the word stem of licences, chosen by hash."""
+    """A bounded sample of the corpus' lines without the word stem of licences: those of the smallest hashes."""
     lines = id_text(docs, spread=False).select("doc_id", F.explode(F.split("text", "\n")).alias("text"))
     fit = (F.col("text") != "") & (F.length("text") <= LONGEST_SAMPLED) & ~F.lower("text").rlike("licen|copyright")
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(997))
-    picked = lines.filter(fit & (share == 0)).select("text").limit(SAMPLED_PARAGRAPHS)
+    picked = lines.filter(fit & (share == 0)).select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(SAMPLED_PARAGRAPHS)
     return picked.select(F.lit("none").alias("label"), F.pmod(F.hash("text"), F.lit(2)).alias("half"), "text")
 
 
@@ -114,7 +125,7 @@ class Model:
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(gram, weights) for gram, weights in self.weights.items() if gram]
         known = spark.createDataFrame(rows, "gram string, weights array<double>")
-        template_grams = templates(spark).select("gram").distinct()
+        template_grams = templates(spark).select("gram").union(deciding(spark).select("gram")).distinct()
         return known.join(template_grams, "gram", "full").select(hashed(F.col("gram")).alias("gram"), "weights").coalesce(1)
 
 
@@ -126,6 +137,12 @@ def templates(spark: SparkSession) -> DataFrame:
     return table.select("family", "template", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
 
 
+def deciding(spark: SparkSession) -> DataFrame:
+    """family, part, gram: one pair of every part must be there."""
+    rows = [(family, i, pair) for family, parts in DECIDING.items() for i, part in enumerate(parts) for pair in part]
+    return spark.createDataFrame(rows, "family string, part int, gram string")
+
+
 def softmax(scores: Column) -> Column:
     powers = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
     total = F.aggregate(powers, F.lit(0.0), lambda a, b: a + b)
@@ -135,7 +152,7 @@ def softmax(scores: Column) -> Column:
 def train(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     table = examples(spark).unionByName(ordinary_sample(docs)).withColumn("grams", F.array_distinct(grams(words(F.col("text")))))
-    table = table.select("label", "half", "grams").persist()
+    table = stage(table.select("label", "half", "grams"), "licence-examples")  # both fits see the same rows, read once
     ordinary = table.filter("label = 'none'").select(F.explode("grams").alias("gram")).distinct()
     licence = table.filter("label <> 'none'").select(F.explode("grams").alias("gram")).distinct()
     names = sorted(row.gram for row in licence.join(ordinary, "gram", "left_anti").collect())  # bounded by the examples
@@ -143,7 +160,6 @@ def train(docs: DataFrame) -> Model:
     vocabulary = vocabulary.setBinary(True)
     weights = fit(table.filter("half = 0"), vocabulary)
     other = table.filter("half = 1 AND label IN ('unknown', 'none')").select("grams").collect()  # bounded by the sample
-    table.unpersist()
 
     def best_family(present: list[str]) -> float:
         scores = [c + sum(weights[g][i] for g in present if g in weights) for i, c in enumerate(weights[""])]
@@ -159,8 +175,8 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per licence-like paragraph: key1, key2, paragraph, family, probability, similarity, confirmed."""
     spark = docs.sparkSession
     texts = id_text(docs)
-    keyed = texts.select(*keys(), F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    tokens = keyed.select("key1", "key2", "paragraph", words(F.col("line")).alias("tokens"))
+    keyed = texts.select(*keys(), F.posexplode(paragraphs(F.col("text"))).alias("paragraph", "body"))
+    tokens = keyed.select("key1", "key2", "paragraph", words(F.col("body")).alias("tokens"))
     found = tokens.select("key1", "key2", "paragraph", F.explode(hashed_grams(F.col("tokens"))).alias("gram"))
     known = F.broadcast(model.table(spark))  # bounded by the examples
     present = found.join(known.select("gram"), "gram").distinct()
@@ -171,18 +187,26 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     )
     scored = scored.filter("features > 0").withColumn("p", softmax(F.col("scores")))
     family = F.get(F.array(*map(F.lit, FAMILIES)), F.array_position(F.slice("p", 1, len(FAMILIES)), best(F.col("p"))).cast("int") - 1)
-    scored = scored.select(
-        "key1", "key2", "paragraph", family.alias("family"), best(F.col("p")).alias("probability"), F.element_at("p", -1).alias("none")
-    )
+    unit = ["key1", "key2", "paragraph"]
+    scored = scored.select(*unit, family.alias("predicted"), best(F.col("p")).alias("probability"), F.element_at("p", -1).alias("none"))
     own = F.broadcast(templates(spark).withColumn("gram", hashed(F.col("gram"))))  # bounded by the templates
-    hits = present.join(own, "gram").groupBy("key1", "key2", "paragraph", "family", "template")
+    hits = present.join(own, "gram").groupBy(*unit, "family", "template")
     alike = hits.agg((F.count(F.lit(1)) / F.first("size")).alias("similarity"))
-    alike = alike.groupBy("key1", "key2", "paragraph", "family").agg(F.max("similarity").alias("similarity"))
-    both = scored.join(alike, ["key1", "key2", "paragraph", "family"], "left")
-    similarity = F.coalesce("similarity", F.lit(0.0))
-    confirmed = (F.col("probability") >= model.threshold) & (similarity >= CONTAINED)
+    alike = alike.groupBy(*unit, "family").agg(F.max("similarity").alias("similarity")).where(F.col("similarity") >= CONTAINED)
+    decides = F.broadcast(deciding(spark).withColumn("gram", hashed(F.col("gram"))))  # bounded by the table
+    needed = {name: len(parts) for name, parts in DECIDING.items()}
+    parts = F.element_at(F.create_map(*[x for name, n in needed.items() for x in (F.lit(name), F.lit(n))]), F.col("family"))
+    decided = present.join(decides, "gram").groupBy(*unit, "family").agg(F.count_distinct("part").alias("found")).where(F.col("found") == parts)
+    confirmed = alike.join(decided.select(*unit, "family"), [*unit, "family"])
+    both = scored.join(confirmed, unit, "left")
+    agreed = (F.col("probability") >= model.threshold) & F.col("similarity").isNotNull()
     return both.select(
-        "key1", "key2", "paragraph", "family", "probability", similarity.alias("similarity"), "none", confirmed.alias("confirmed")
+        *unit,
+        F.coalesce("family", "predicted").alias("family"),
+        "probability",
+        F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
+        "none",
+        agreed.alias("confirmed"),
     ).filter(F.col("confirmed") | (F.col("none") < 0.5))
 
 
@@ -199,13 +223,13 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_paragraphs, n_confirmed, n_unknown, families, licence (the first confirmed, else unknown or none)."""
     notices = scan(docs, train(docs))
     by_document = notices.groupBy("key1", "key2").agg(
-        F.count_if("confirmed").alias("n_confirmed"),
-        F.count_if(~F.col("confirmed")).alias("n_unknown"),
+        F.count_distinct(F.when(F.col("confirmed"), F.col("paragraph"))).alias("n_confirmed"),
+        F.count_distinct(F.when(~F.col("confirmed"), F.col("paragraph"))).alias("n_unknown"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
-        F.min_by("family", F.when(F.col("confirmed"), F.col("paragraph"))).alias("first"),
+        F.min_by("family", F.when(F.col("confirmed"), F.struct("paragraph", -F.col("similarity"), "family"))).alias("first"),
         F.max(F.when(F.col("confirmed"), F.col("probability"))).alias("probability"),
     )
-    rows = id_text(docs, spread=False).select("doc_id", *keys(), F.size(F.split("text", "\n")).cast("long").alias("n_paragraphs"))
+    rows = id_text(docs, spread=False).select("doc_id", *keys(), F.size(paragraphs(F.col("text"))).cast("long").alias("n_paragraphs"))
     none = F.when(F.col("n_unknown") > 0, "unknown").otherwise("none")
     return rows.join(by_document, ["key1", "key2"], "left").select(
         "doc_id",
