@@ -375,7 +375,7 @@ def pair_counts(encoded: DataFrame, a_path: str, pattern: str, b_path: str, radi
 
 
 def vocabulary_size(a_path: str, pattern: str) -> int:
-    return worker_cache(("byte_level", a_path), lambda: ByteLevel(a_path, pattern)).size
+    return worker_cache(("align", a_path), lambda: ByteLevel(a_path, pattern)).size
 
 
 # --- pass 3 and 4: totals back to documents -----------------------------------------------------------------

@@ -26,6 +26,16 @@ def digest(column: Column) -> Column:
     return F.sha2(column.cast("binary"), 256)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` with its columns worked out once per row.
+
+    The optimizer writes a column's expression where the column is used; inside the function of a ``transform`` it
+    would then run again for every element. It does not look through a projection that numbers its rows, as long as
+    the number is used.
+    """
+    return df.withColumn("_settled", F.monotonically_increasing_id()).where(F.col("_settled") >= 0).drop("_settled")
+
+
 def frame(rows: list[tuple], schema: str):
     """A pandas frame of ``rows`` for a schema like ``a long, b string``; whole numbers stay exact beside nulls.
 
@@ -61,11 +71,17 @@ class Recent:
 
 
 def worker_cache(key: tuple, make):
-    """The object made once per Python worker for ``key`` (tokenizers and bounded caches only)."""
+    """The object made once per Python worker for ``key`` (tokenizers and bounded caches only).
+
+    Spark uses a worker for one stage after the other; what another operator (the key's first part) left
+    there is dropped, so the caches of a pipeline's stages do not add up.
+    """
     import sys
     import types
 
     held = sys.modules.setdefault("_roomledger_worker", types.ModuleType("_roomledger_worker")).__dict__
     if key not in held:
+        for other in [k for k in held if isinstance(k, tuple) and k[0] != key[0]]:
+            del held[other]
         held[key] = make()
     return held[key]

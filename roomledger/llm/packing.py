@@ -99,8 +99,8 @@ def fill(
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        encoder = worker_cache(("byte_level", tokenizer_path), lambda: ByteLevel(tokenizer_path, pattern))
-        plans = worker_cache(("cuts", capacity, slack), lambda: [cuts(n, capacity, slack) for n in range(capacity)])
+        encoder = worker_cache(("packing", tokenizer_path), lambda: ByteLevel(tokenizer_path, pattern))
+        plans = worker_cache(("packing", capacity, slack), lambda: [cuts(n, capacity, slack) for n in range(capacity)])
         filler = Filler(capacity, (TaskContext.get().partitionId() + 1) << TASK_BITS)
         rows: list[tuple] = []
         for batch in batches:
