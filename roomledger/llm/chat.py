@@ -7,7 +7,8 @@ blocks are concatenated to the formatted text:
 
 Texts and roles are escaped so that no mark can occur inside them: ``\\`` becomes ``\\e``, ``<`` becomes
 ``\\l`` and ``|`` becomes ``\\p``. Every mark contains a ``<``, so a formatted text can be cut at its marks
-and unescaped again (``parse``). The loss mask covers the texts of the assistant's turns.
+and unescaped again (``parse``). The loss mask (``loss_spans``) covers the texts of the assistant's turns;
+what is under it is cut out of the formatted text by its offsets (``under_mask``).
 
 A conversation's turns are first put together per range of turn numbers and then per conversation,
 so the tasks that sort are small even where one conversation has very many rows. Its formatted text
@@ -23,10 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomledger.llm.common import digest
+from roomledger.llm.common import digest, settled
 
 LOSS_ROLE = "assistant"
 TURNS_PER_RANGE = 256
+PART = 64  # blocks that are summed and cut together
 OPEN, CLOSE, JOIN, END = "<|", "|>", "<+>", "</s>"
 ESCAPES = (("\\", "\\e"), ("<", "\\l"), ("|", "\\p"))  # the escape character's own comes first
 
@@ -43,17 +45,18 @@ def unescape(text: Column) -> Column:
     return text
 
 
-def merge_adjacent(blocks: Column) -> Column:
-    """Adjacent blocks of one role become one, their bodies joined; linear in the number of blocks."""
+def merge_adjacent(df: DataFrame, blocks: str) -> DataFrame:
+    """``blocks`` with adjacent blocks of one role made one, their bodies joined; linear in the number of blocks."""
+    df = settled(df)
     places = F.sequence(F.lit(0), F.size(blocks) - 1)
-    starts = F.filter(places, lambda i: (i == 0) | (F.get(blocks, i)["role"] != F.get(blocks, i - 1)["role"]))
+    df = settled(df.withColumn("starts", F.filter(places, lambda i: (i == 0) | (F.get(blocks, i)["role"] != F.get(blocks, i - 1)["role"]))))
 
     def merged(start: Column, number: Column) -> Column:
-        stop = F.coalesce(F.get(starts, number + 1), F.size(blocks))
+        stop = F.coalesce(F.get("starts", number + 1), F.size(blocks))
         bodies = F.transform(F.slice(blocks, start + 1, stop - start), lambda b: b["body"])
         return F.struct(F.get(blocks, start)["role"].alias("role"), F.array_join(bodies, JOIN).alias("body"))
 
-    return F.transform(starts, merged)
+    return settled(df.withColumn(blocks, F.transform("starts", merged)).drop("starts"))
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
@@ -67,17 +70,40 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     span = F.floor(F.col("turn") / TURNS_PER_RANGE).alias("span")
     sorted_turns = F.sort_array(F.collect_list(F.struct("turn", "role", "body")))
     ranges = rows.groupBy("conv_id", span).agg(sorted_turns.alias("turns"))
-    ranges = ranges.withColumn("blocks", F.transform("turns", lambda t: F.struct(t["role"], t["body"])))
-    ranges = ranges.select("conv_id", "span", merge_adjacent(F.col("blocks")).alias("blocks"))
+    ranges = ranges.select("conv_id", "span", F.transform("turns", lambda t: F.struct(t["role"], t["body"])).alias("blocks"))
+    ranges = merge_adjacent(ranges, "blocks")
     whole = ranges.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("span", "blocks"))).alias("spans"))
-    whole = whole.withColumn("all_blocks", F.flatten(F.transform("spans", lambda s: s["blocks"])))
-    blocks = whole.select("conv_id", merge_adjacent(F.col("all_blocks")).alias("blocks"))
+    whole = whole.select("conv_id", F.flatten(F.transform("spans", lambda s: s["blocks"])).alias("blocks"))
+    blocks = merge_adjacent(whole, "blocks")
     written = F.transform("blocks", lambda b: F.concat(F.lit(OPEN), b["role"], F.lit(CLOSE), b["body"], F.lit(END)))
-    return blocks.select("conv_id", F.array_join(written, "").alias("formatted"), loss_spans(F.col("blocks")).alias("loss_spans"))
+    found = settled(settled(blocks.withColumn("parts", parts_of(F.col("blocks")))).withColumn("found", F.transform("parts", loss_spans)))
+    found = settled(found.withColumn("starts", starts_of(F.transform("found", lambda f: f["at"]))))
+
+    def shifted(found: Column, start: Column) -> Column:
+        return F.transform(found["spans"], lambda s: F.struct((s["start"] + start).alias("start"), (s["end"] + start).alias("end")))
+
+    spans = F.flatten(F.zip_with("found", "starts", shifted))
+    return found.select("conv_id", F.array_join(written, "").alias("formatted"), spans.alias("loss_spans"))
+
+
+def parts_of(values: Column) -> Column:
+    """An array (not empty) cut into arrays of ``PART`` elements: sums and cuts along a conversation go part by part."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / PART).cast("int"))
+    return F.transform(numbers, lambda n: F.slice(values, n * PART + 1, F.lit(PART)))
+
+
+def starts_of(sizes: Column) -> Column:
+    """The sum of the sizes before each one."""
+    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("starts"))
+
+    def step(state: Column, size: Column) -> Column:
+        return F.struct((state["at"] + size).alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts"))
+
+    return F.aggregate(sizes, first, step, lambda s: s["starts"])
 
 
 def loss_spans(blocks: Column) -> Column:
-    """Where the turns of the loss role stand in the formatted text."""
+    """The length of some blocks as written (``at``), and where the turns of the loss role stand in them (``spans``)."""
     bodies = F.flatten(
         F.transform(
             blocks,
@@ -102,7 +128,7 @@ def loss_spans(blocks: Column) -> Column:
         return F.struct((end + turn["after"]).alias("at"), spans.alias("spans"))
 
     first = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
-    return F.aggregate(bodies, first, step, lambda s: s["spans"])
+    return F.aggregate(bodies, first, step)
 
 
 def parse(formatted: Column) -> Column:
@@ -122,11 +148,30 @@ def parse(formatted: Column) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
+def under_mask(formatted: DataFrame) -> DataFrame:
+    """``masked``: the text under the loss mask, cut out of the formatted text by the mask's offsets and unescaped.
+
+    Cutting by an offset goes through the text from its beginning, so the text is taken in parts of ``PART`` blocks
+    first; a span lies within one block.
+    """
+    blocks = F.transform(F.filter(F.split("formatted", END, -1), lambda b: b != ""), lambda b: F.concat(b, F.lit(END)))
+    cut = settled(settled(formatted).withColumn("blocks", blocks))
+    cut = settled(cut.withColumn("texts", F.transform(parts_of(F.col("blocks")), lambda p: F.array_join(p, ""))))
+    cut = settled(cut.withColumn("starts", starts_of(F.transform("texts", lambda t: F.length(t).cast("bigint")))))
+
+    def masked(text: Column, start: Column) -> Column:
+        own = F.filter("loss_spans", lambda s: (s["start"] >= start) & (s["end"] <= start + F.length(text)))
+        pieces = F.transform(own, lambda s: F.substring(text, (s["start"] - start + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
+        return F.array_join(F.transform(pieces, unescape), "")
+
+    return cut.withColumn("masked", F.array_join(F.zip_with("texts", "starts", masked), "")).drop("blocks", "texts", "starts")
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Figures of each conversation, from its formatted text alone."""
-    parsed = formatted.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"))
+    """Figures of each conversation: its turns from its formatted text alone, the loss from the mask's offsets in it."""
+    parsed = under_mask(formatted).select("conv_id", "formatted", "masked", parse(F.col("formatted")).alias("turns"))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    masked = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == LOSS_ROLE), lambda t: t["text"]), "")
+    masked = F.col("masked")
     return parsed.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
