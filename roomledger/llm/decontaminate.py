@@ -17,11 +17,16 @@
    stretch of text around the passage must cover ``COVERED`` of the item, or ``PARAPHRASED`` of it if the
    item's answer (its last ``ANSWER`` words, or share of them) is there as well.
 
-Items shorter than ``LEAST_WORDS`` words are left out: common phrases would match them.
+Whether a text leaks does not depend on its row, so candidates are merged and verified once per distinct text
+(128 bits of hash) and the verdicts are joined to the rows: thousands of copies cost a join, not thousands of
+verifications. A benchmark of more than ``MOST_ITEMS`` distinct texts is compared in several rounds.
 
-Defined results: null and empty texts and items match nothing; repeated rows each match; an item is
-matched under its smallest item_id where items repeat; a null doc_id is kept; empty tables give an
-empty result; extra columns are ignored.
+Items shorter than ``least_words`` words (a parameter, ``LEAST_WORDS`` by default) would be found in any text as
+common phrases. They match exactly: texts whose words, as normalised, are the item's words and no others.
+
+Defined results: null and empty texts and items match nothing; repeated rows each match; where an item's text
+repeats, each of its item_ids is answered, a null one as null; a null doc_id is kept; a match of a short item has
+start 0 and cosine, covered and answered 1; empty tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roomledger.llm.common import frame as rows_frame
 from roomledger.llm.common import id_text, worker_cache
 from roomledger.session import stage
 
@@ -49,9 +55,10 @@ COVERED, PARAPHRASED = 0.8, 0.65
 ANSWER, ANSWER_COVERED = 0.25, 0.75
 LEAST_WORDS = 8
 SEED = 42
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 BLOCK = 1_000_000  # cosines computed at once
 MOST_KEYS = 2_000_000  # of 16 bytes, broadcast at most
+MOST_ITEMS = 50_000  # benchmark texts that are sent to every task at once
 CHUNK = 8_000  # words projected at once; their rows fit into a processor's cache
 STRIP = ".,;:!?\"'()[]{}<>*_#|"
 
@@ -84,19 +91,35 @@ def terms_of(text: str, cache: Terms | None = None) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, tokens), dtype=np.uint16, count=len(tokens))
 
 
-def tokenised(docs: DataFrame) -> DataFrame:
-    """key1, key2 (128 bits for id and text) and the text's terms; staged."""
-    rows = id_text(docs).select(F.xxhash64("doc_id", "text").alias("key1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("key2"), "text")
+def text_keys() -> dict:
+    """128 bits of a row's text."""
+    return {"key1": F.xxhash64("text"), "key2": F.xxhash64(F.lit(1), "text")}
+
+
+def tokenised(docs: DataFrame, least_words: int) -> DataFrame:
+    """key1, key2, the text's terms, and its words if there are fewer than ``least_words``; staged, one row per row."""
+    rows = id_text(docs).withColumns(text_keys()).select("key1", "key2", "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = worker_cache(("decontaminate",), Terms)
         for frame in frames:
             cache = known.bounded()
-            yield pd.DataFrame(
-                {"key1": frame["key1"], "key2": frame["key2"], "terms": [terms_of(t, cache).tobytes() for t in frame["text"]]}
-            )
+            few = [short(t, least_words) for t in frame["text"]]
+            terms = [terms_of(t, cache).tobytes() for t in frame["text"]]
+            yield pd.DataFrame({"key1": frame["key1"], "key2": frame["key2"], "terms": terms, "words": few})
 
-    return stage(rows.mapInPandas(run, "key1 long, key2 long, terms binary"), "terms")
+    return stage(rows.mapInPandas(run, "key1 long, key2 long, terms binary, words string"), "terms")
+
+
+def short(text: str, least_words: int) -> str | None:
+    """The words of a text that has some, but fewer than ``least_words``."""
+    words = []
+    for token in text.split():
+        if word := normal(token):
+            words.append(word)
+            if len(words) >= least_words:
+                return None
+    return " ".join(words) or None
 
 
 def frequencies(tokens: DataFrame) -> np.ndarray:
@@ -186,8 +209,8 @@ class Passages:
             out[found[first]] += np.add.reduceat(own[self.block[at]] * self.weights[at, None], first, axis=0)
 
 
-def batches(frames: Iterator[pd.DataFrame], words: int = 2_000_000) -> Iterator[pd.DataFrame]:
-    """Slices of a few million words, or one text."""
+def batches(frames: Iterator[pd.DataFrame], words: int = 1_000_000) -> Iterator[pd.DataFrame]:
+    """Slices of a million words, or one text."""
     for frame in frames:
         ends = frame["terms"].str.len().to_numpy().cumsum() // 2
         start = 0
@@ -245,9 +268,8 @@ def latent_space(tokens: DataFrame, items: list[np.ndarray]) -> Space:
 
 @dataclass
 class Items:
-    """The benchmark: ids, words, terms, and the unit vectors of the segments with their items."""
+    """Distinct benchmark texts: their words, terms, and the unit vectors of the segments with their items."""
 
-    ids: list[int]
     words: list[list[str]]
     terms: list[np.ndarray]
 
@@ -264,14 +286,10 @@ class Items:
         return np.array(owner, dtype=np.int64), np.array(vectors, dtype=np.float32).reshape(-1, RANK)
 
 
-def load_items(benchmark: DataFrame) -> Items:
-    """The stated benchmark, distinct texts of enough words (it is the query set, sent to every task)."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
-    found = rows.groupBy("text").agg(F.min("item_id").alias("item_id")).collect()
-    kept = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in found)
-    split = [(i, [w for w in map(normal, text.split()) if w]) for i, text in kept]
-    split = [(i, words) for i, words in split if len(words) >= LEAST_WORDS]
-    return Items([i for i, _ in split], [w for _, w in split], [terms_of(" ".join(w)) for _, w in split])
+def load_items(texts: list[str]) -> Items:
+    """Distinct texts of the stated benchmark (it is the query set, sent to every task)."""
+    split = [[w for w in map(normal, text.split()) if w] for text in texts]
+    return Items(split, [terms_of(" ".join(w)) for w in split])
 
 
 def fewest(length: int) -> int:
@@ -330,7 +348,7 @@ def candidates(tokens: DataFrame, space: Space, items: Items) -> DataFrame:
     known = np.unique(np.concatenate([terms[terms > 0] for terms in items.terms]))
     number = np.zeros(TERMS, dtype=np.uint16)  # 0: in no item
     number[known] = np.arange(1, len(known) + 1)
-    holds = np.zeros((len(items.ids), len(known) + 1), dtype=bool)
+    holds = np.zeros((len(items.words), len(known) + 1), dtype=bool)
     for i, terms in enumerate(items.terms):
         holds[i, number[terms[terms > 0]]] = True
     least = np.array([least_of_passage(len(terms)) for terms in items.terms])
@@ -407,31 +425,69 @@ def verify(item: list[str], stretch: list[str]) -> tuple[float, float, bool]:
     return covered, answered, covered >= COVERED or (covered >= PARAPHRASED and answered >= ANSWER_COVERED)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, item_id, start (word), cosine, covered, answered: the benchmark items found in each document."""
-    return keyed_leaks(docs, benchmark).drop("key1", "key2")
+    found = text_leaks(docs, benchmark, least_words)
+    rows = id_text(docs, spread=False).withColumns(text_keys()).select("key1", "key2", "doc_id")
+    # As many leaking texts as there are, not rows: the copies of one are joined where they lie.
+    found = F.broadcast(found) if found.count() <= MOST_KEYS else found
+    return rows.join(found, ["key1", "key2"]).drop("key1", "key2").select("doc_id", *[c for c in found.columns if c not in ("key1", "key2")])
+
+
+def text_leaks(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The leaks of every distinct text, under its 128-bit key; staged."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
+    texts = distinct_texts(items, least_words)
+    tokens = tokenised(docs, least_words)
+    verdicts = same_words(tokens, texts)
+    long_texts = texts.where(~F.col("few"))
+    rounds = -(-long_texts.count() // MOST_ITEMS)
+    for n in range(rounds):
+        part = long_texts.where(F.pmod(F.xxhash64("item"), F.lit(rounds)) == n)
+        # At most about MOST_ITEMS texts: the query set of this round.
+        verdicts = verdicts.unionByName(found_in(docs, tokens, sorted(r.item for r in part.select("item").collect())))
+    ids = items.select(F.col("text").alias("item"), "item_id").distinct()
+    answered = stage(verdicts, "verdicts").join(ids, "item")
+    return stage(answered.select("key1", "key2", "item_id", "start", "cosine", "covered", "answered"), "leaks")
+
+
+def distinct_texts(items: DataFrame, least_words: int) -> DataFrame:
+    """(item, words, few): each distinct benchmark text with words; staged."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            words = [[w for w in map(normal, text.split()) if w] for text in frame["text"]]
+            out = pd.DataFrame({"item": frame["text"], "words": [" ".join(w) for w in words], "few": [len(w) < least_words for w in words]})
+            yield out[[bool(w) for w in words]]
+
+    return stage(items.select("text").distinct().mapInPandas(run, "item string, words string, few boolean"), "benchmark-texts")
+
+
+def same_words(tokens: DataFrame, texts: DataFrame) -> DataFrame:
+    """Short items: the texts whose words are the item's."""
+    few = texts.where("few").select("item", "words")
+    there = tokens.where(F.col("words").isNotNull()).select("key1", "key2", "words").distinct().join(few, "words")
+    one = F.lit(1.0)
+    return there.select("key1", "key2", "item", F.lit(0).cast("long").alias("start"), one.alias("cosine"), one.alias("covered"), one.alias("answered"))
 
 
-def keyed_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The leaks with key1 and key2, which tell rows apart whose ids are null or repeated."""
-    items = load_items(benchmark)
-    tokens = tokenised(docs)
+def found_in(docs: DataFrame, tokens: DataFrame, texts: list[str]) -> DataFrame:
+    """Long items: candidates by latent retrieval, verified once for each distinct text."""
+    items = load_items(texts)
     space = latent_space(tokens, items.terms)
-    if not items.ids:
-        return docs.sparkSession.createDataFrame([], f"{KEYS}, {LEAKS}")
+    once = candidates(tokens.select("key1", "key2", "terms"), space, items).groupBy("key1", "key2", "item", "start").agg(F.max("cosine").alias("cosine"))
     places = F.collect_list(F.struct("item", "start", "cosine")).alias("found")
-    by_text = stage(candidates(tokens, space, items).groupBy("key1", "key2").agg(places), "candidates")
-    rows = id_text(docs, spread=False).withColumns({"key1": F.xxhash64("doc_id", "text"), "key2": F.xxhash64("text", "doc_id", F.lit(1))})
+    by_text = stage(once.groupBy("key1", "key2").agg(places), "candidates")
+    rows = id_text(docs, spread=False).withColumns(text_keys()).select("key1", "key2", "text")
     keys = by_text.select("key1", "key2")
     if keys.count() <= MOST_KEYS:  # else all texts are shuffled by their keys
         rows = rows.join(F.broadcast(keys), ["key1", "key2"], "left_semi")
-    picked = rows.join(by_text, ["key1", "key2"]).select("key1", "key2", "doc_id", "text", "found")
+    picked = rows.dropDuplicates(["key1", "key2"]).join(by_text, ["key1", "key2"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            columns = (frame["key1"], frame["key2"], frame["doc_id"], frame["doc_id"].isna(), frame["text"], frame["found"])
-            for key1, key2, doc_id, null, text, found in zip(*columns, strict=True):
+            for key1, key2, text, found in zip(frame["key1"].tolist(), frame["key2"].tolist(), frame["text"], frame["found"], strict=True):
                 words = text.split()
                 best: dict[int, tuple] = {}
                 for place in found:
@@ -443,20 +499,19 @@ def keyed_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         row = (covered, place["cosine"], -place["start"], answered)
                         best[place["item"]] = max(best.get(place["item"], row), row)
                 for i, (covered, cosine, start, answered) in sorted(best.items()):
-                    out.append((key1, key2, None if null else int(doc_id), items.ids[i], -start, cosine, covered, answered))
-            names = [c.split()[0] for c in f"{KEYS}, {LEAKS}".split(", ")]
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+                    out.append((key1, key2, texts[i], -start, cosine, covered, answered))
+            yield rows_frame(out, VERDICTS)
 
-    return picked.mapInPandas(run, f"{KEYS}, {LEAKS}")
+    return picked.mapInPandas(run, VERDICTS)
 
 
-KEYS = "key1 long, key2 long"
-LEAKS = "doc_id long, item_id long, start long, cosine double, covered double, answered double"
+VERDICTS = "key1 long, key2 long, item string, start long, cosine double, covered double, answered double"
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents in which no benchmark item was found, with all their columns."""
-    found = stage(keyed_leaks(docs, benchmark).select(F.col("key1").alias("_key1"), F.col("key2").alias("_key2")).distinct(), "leaked")
-    doc_id, text = docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit(""))
-    same = (F.xxhash64(doc_id, text) == found["_key1"]) & (F.xxhash64(text, doc_id, F.lit(1)) == found["_key2"])
+    found = text_leaks(docs, benchmark, least_words).select(F.col("key1").alias("_key1"), F.col("key2").alias("_key2")).distinct()
+    found = F.broadcast(found) if found.count() <= MOST_KEYS else found
+    text = F.coalesce(docs["text"], F.lit(""))
+    same = (F.xxhash64(text) == found["_key1"]) & (F.xxhash64(F.lit(1), text) == found["_key2"])
     return docs.join(found, same, "left_anti")
