@@ -74,7 +74,6 @@ def test_token_records_files_index_and_damage(spark, docs, none):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(catalog.WORD_BPE)
-    library.encode_special_tokens = True
     path = staging_path(spark, "records")
     token_records.write_records(docs, path, catalog.WORD_BPE, files=3)
     index = token_records.build_index(spark, path)
@@ -386,5 +385,60 @@ def test_pipeline_stages_keep_columns_and_order(spark):
     kept = corpus_pipeline.drop_near_duplicates(spark, source, SF)
     parts = simhash.near_duplicates(source).select("component_id").distinct()
     assert kept.columns == source.columns and sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in parts.collect())
-    out = corpus_pipeline.run(spark, SF)
-    assert 0 < out.count() <= kept.count()
+
+
+def plain_pipeline(docs: list[tuple], model, items: list[str]) -> list[tuple]:
+    """The five stages in turn over (doc_id, text) rows, one document after the other, without Spark."""
+    import tiktoken
+
+    compressors = toxicity.Compressors(model)
+    docs = [(i, t or "") for i, t in docs if toxicity.probabilities(model, compressors, [t or ""])[0] < toxicity.THRESHOLD]
+    marks = [simhash.fingerprint(t, 4) for _, t in docs]
+    group = list(range(len(docs)))
+
+    def first(n: int) -> int:
+        while group[n] != n:
+            n = group[n]
+        return n
+
+    for n in range(len(docs)):
+        for m in range(n):
+            if (marks[n] ^ marks[m]).bit_count() <= 4:
+                low, high = sorted((first(n), first(m)))
+                group[high] = low
+    least = {}
+    for n, (doc_id, text) in enumerate(docs):
+        least[first(n)] = min(least.get(first(n), (doc_id, text)), (doc_id, text))
+    docs = sorted(least.values())
+    words_of = [[w for w in map(decontaminate.normal, item.split()) if w] for item in items]
+
+    def leaks(text: str) -> bool:
+        words = text.split()
+        for item in words_of:
+            for start in range(0, len(words), decontaminate.HALF):
+                stretch = words[max(0, start - len(item)) : start + decontaminate.WINDOW + len(item)]
+                if len(set(item) & set(map(decontaminate.normal, stretch))) >= 0.65 * len(set(item)) and decontaminate.verify(
+                    item, [w for w in map(decontaminate.normal, stretch) if w]
+                )[2]:
+                    return True
+        return False
+
+    docs = [(i, t) for i, t in docs if not leaks(t)]
+    tagger = pii.tagger(pii.model())
+    docs = [(i, pii.redact_text(t, pii.all_spans(pii.base_spans(t), tagger.added([t])[0]))) for i, t in docs]
+    ranks = byte_bpe.load_ranks(catalog.BYTE_BPE)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return [(i, tuple(library.encode_ordinary(t)), hashlib.sha256(t.encode()).hexdigest()) for i, t in docs]
+
+
+def test_pipeline_equals_a_plain_version(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    got = corpus_pipeline.run(spark, SF).collect()
+    want = plain_pipeline(rows, model, items)
+    assert 50 < len(want) < len(rows)
+    assert sorted((r.doc_id, tuple(r.ids), r.decoded_sha256) for r in got) == sorted(want)

@@ -12,9 +12,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
-from roomledger.llm import alignment, catalog, packing, repair
-from roomledger.llm.vocabularies import ByteLevel, byte_symbols
+from roomledger.llm import alignment, catalog, decontaminate, packing, repair, simhash, token_records, toxicity
+from roomledger.llm.vocabularies import ByteLevel, WordEnds, byte_symbols
+from roomledger.session import staging_path
 
 PATTERN = public_tokenizers.PATTERN
 RNG = random.Random(3)
@@ -51,6 +53,98 @@ def test_vocabulary_equals_the_library():
     assert b"".join(own.bytes_of[i] for i in own.encode("naïve 日\x00", special=False)) == "naïve 日\x00".encode()
 
 
+def test_word_end_vocabulary_equals_the_library():
+    """Every code point that is not left to the library in several surroundings, and texts of every kind."""
+    from tokenizers import Tokenizer
+
+    own, other = WordEnds(catalog.WORD_BPE), Tokenizer.from_file(catalog.WORD_BPE)
+    points = [c for c in map(chr, range(0x10000)) if not "\ud800" <= c <= "\udfff" and not own.odd(c)]
+    assert len(points) > 55_000
+    texts = ["".join(f"a{c}b {c}{c} 1{c}1\n{c}\n ,{c}'{c} e{c}\u0308 " for c in points[at : at + 50]) for at in range(0, len(points), 50)]
+    rng = random.Random(6)
+    mixed = [*map(chr, range(32, 127))] * 3 + [*map(chr, range(0xA0, 0x250)), *"ΣςİẞÅ日本가\u1100\u1161\u200b\u3000\x1c\x85\u2028😀𞤀"]
+    texts += ["".join(rng.choice(mixed) for _ in range(rng.randint(1, 30))) for _ in range(5000)]
+    texts += [t or "" for _, t in HARD] + ["<|startoftext|>A<|ENDOFTEXT|> <|endoftext|>", "don't DON'T 'll x's", "ΟΔΥΣΣΕΥΣ Σ", " " * 3000, "ab" * 4000]
+    for text, want in zip(texts, other.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert own.encode(text).tolist() == want.ids, text[:80]
+
+
+def test_records_of_special_strings_wide_ids_and_many_files(spark, docs, monkeypatch):
+    """The library without any switch; as many files as the bytes ask for; records found again by the index."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(catalog.WORD_BPE)
+    monkeypatch.setattr(token_records, "FILE_BYTES", 3000)
+    path = staging_path(spark, "records")
+    assert token_records.file_count(docs) > 20
+    token_records.write_records(docs, path, catalog.WORD_BPE)
+    index = token_records.build_index(spark, path)
+    want = Counter((i, tuple(library.encode(t or "", add_special_tokens=False).ids + [2])) for i, t in HARD)
+    assert any(49407 in ids for (i, ids) in want if i == 8)
+    assert Counter((r.doc_id, tuple(r.ids)) for r in token_records.read_records(spark, index, path).collect()) == want
+    rows = index.orderBy("start").collect()
+    assert [r.start for r in rows] == list(itertools.accumulate([0] + [r.n_tokens for r in rows[:-1]]))
+    assert [r.doc_id or -1 for r in rows] == sorted(r.doc_id or -1 for r in rows)
+    few = index.where("doc_id = 4")
+    assert {r.doc_id for r in token_records.read_records(spark, few, path).collect()} == {4}
+
+
+# --- decontamination ----------------------------------------------------------------------------------------
+
+
+def test_copies_of_a_leak_are_verified_once(spark, monkeypatch):
+    """Thousands of rows with one leaking text, whatever their ids; repeated, null and short items."""
+    rng = random.Random(8)
+    words = [f"{a}{n}" for a in ("oak", "tide", "lamp", "veil", "moss") for n in range(40)]
+    item = " ".join(rng.sample(words, 24))
+    leak = " ".join(rng.sample(words, 30)) + " " + item + " " + " ".join(rng.sample(words, 30))
+    clean = [" ".join(rng.choice(words) + "q" for _ in range(60)) for _ in range(50)]
+    rows = [(None, leak)] * 3000 + [(n, clean[n]) for n in range(50)] + [(90, "Blue  moon, rising!"), (91, "a blue moon rising"), (92, None), (93, "")]
+    rows += [(94, leak + " end"), (95, "W" * 4000 + " x")]
+    benchmark = [(1, item), (2, item), (None, item), (5, "blue moon rising"), (6, None), (7, ""), (8, "w" * 4000 + " X")]
+    docs = spark.createDataFrame([(i, t, 0.5, 1) for i, t in rows], "doc_id long, text string, cosine double, item int").repartition(4)
+    items = spark.createDataFrame([(i, t, "x") for i, t in benchmark], "item_id long, text string, words string")
+    got = Counter((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect())
+    want = Counter({(None, i): 3000 for i in (1, 2, None)}) + Counter({(94, i): 1 for i in (1, 2, None)} | {(90, 5): 1, (95, 8): 1})
+    assert got == want
+    kept = Counter((r.doc_id, r.text) for r in decontaminate.keep_clean(docs, items).collect())
+    assert kept == Counter(row for row in rows if row[1] != leak and row[0] not in (90, 94, 95))
+    monkeypatch.setattr(decontaminate, "MOST_KEYS", 0)
+    monkeypatch.setattr(decontaminate, "MOST_ITEMS", 1)
+    assert Counter((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()) == want
+
+
+def test_odd_distances_are_refused_and_even_ones_lose_no_link(spark):
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), 1, 3)
+    rng = np.random.default_rng(2)
+    for distance in (0, 2, 4):
+        base = rng.integers(0, 1 << 63, 3, dtype=np.uint64)
+        fps = np.unique([b ^ np.uint64(sum(1 << int(i) for i in rng.choice(12, rng.integers(0, 5), replace=False))) for b in base for _ in range(12)])
+        frame = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+        near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= distance
+        while not (np.linalg.matrix_power(near.astype(int), 2) > 0).tolist() == near.tolist():
+            near = np.linalg.matrix_power(near.astype(int), 2) > 0
+        want = {int(f): int(fps.view(np.int64)[near[n]].min()) for n, f in enumerate(fps.view(np.int64))}
+        found = simhash.components(simhash.links(frame, len(fps), distance)).collect()
+        roots = {int(f): int(f) for f in fps.view(np.int64)} | {r.node: r.root for r in found}
+        assert roots == want
+
+
+def test_a_repeated_labelled_id_counts_once_in_the_fit(spark, monkeypatch):
+    """A third of all rows under one labelled id do not come to the driver."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, sizes: seen.append((texts, labels)))
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"other {n}") for n in range(3000)] + [(None, "unnamed")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[0], 1)], "doc_id long, toxic int")
+    for frame in (docs, docs.orderBy(F.rand(3)).repartition(7)):
+        toxicity.train(frame, labels)
+    (first, _), (second, _) = seen
+    assert len(first) == len(ids) and sorted(first) == sorted(second)
+
+
 # --- packing ------------------------------------------------------------------------------------------------
 
 
