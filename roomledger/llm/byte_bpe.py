@@ -4,18 +4,20 @@ Encoding. Text is cut by the vocabulary's pattern into pieces. Pieces that are t
 the others become token-position rows (piece, position, token) of a DuckDB table, one row per byte.
 A recursive query joins adjacent rows with the merge table, finds each piece's pair of smallest rank
 (leftmost on ties), contracts it, and goes on with the pieces that changed until none has a pair
-left. Where no merge that contains the new token can have a smaller rank, all non-overlapping
-occurrences of that pair in the piece are contracted in the same step, which gives the same tokens
-and keeps long repetitive pieces to few steps. A query makes at most ``MAX_STEPS`` steps and is
-resumed from its last state, so its memory is bounded for pieces of any length.
+left. In short pieces a step also contracts every other pair that nothing can come before: no merge of
+smaller or equal rank takes its left token with a token that ends in the byte before, or its right token with
+one that begins with the byte after. In long pieces, where no merge that contains the new token can
+have a smaller rank, all non-overlapping occurrences of the pair are contracted in the same step. Both
+give the same tokens in fewer steps. A query makes at most ``MAX_STEPS`` steps and is resumed from its
+last state, so its memory is bounded for pieces of any length.
 
 Decoding. The id stream is cut before every token that starts with a space (a property of the
 vocabulary, not of the encoder); the distinct runs of a batch become (run, position, token) rows that
 DuckDB joins with the vocabulary and puts together by an ordered aggregation.
 
-Chunks of text and runs of ids repeat a lot, so each worker keeps the results of recent ones in
-bounded caches. Chunks are cut at single spaces between other characters, where the pattern always
-begins a new piece.
+Chunks of text and runs of ids repeat a lot: Arrow's dictionaries find the distinct ones of a batch, and each
+worker keeps the results of recent pieces and runs in bounded caches. Chunks are cut at single spaces
+between other characters, where the pattern always begins a new piece.
 
 Defined results: null text is empty (no ids, digest of nothing); repeated rows each give a row; an
 empty table gives an empty result; extra columns are ignored.
@@ -37,33 +39,41 @@ from roomledger.llm.common import Recent, id_text, worker_cache
 MAX_STEPS = 48
 SHORT_BYTES = 64  # longer pieces go through LONG_SQL
 BATCH_BYTES = 1_000_000  # bytes of pieces in one recursive query
-BATCH_CHARS = 2_000_000  # characters of text handled at once
-CACHE_ENTRIES = 150_000  # of each generation of each cache
+BATCH_CHARS = 4_000_000  # characters of text handled at once
+CACHE_ENTRIES = 250_000  # of each generation of each cache
 
-#: One contraction per piece and step, for the short pieces that make up nearly all text.
+#: The smallest pair of each piece and those that nothing can come before, for the short pieces that make up nearly all text.
 SHORT_SQL = f"""
-WITH RECURSIVE state(step, piece, pos, tok) AS (
-    SELECT 0, piece, pos, tok FROM start_rows
+WITH RECURSIVE state(step, piece, pos, tok, before, here) AS (
+    SELECT 0, piece, pos, tok, before, here FROM start_rows
     UNION ALL
     (WITH paired AS (
-        SELECT piece, pos, tok * 65536::BIGINT + lead(tok) OVER w AS pair,
-               lead(piece) OVER w AS next_piece, lead(pos) OVER w AS next_pos
+        SELECT piece, pos, tok, before, lead(tok) OVER w AS next_tok, lead(piece) OVER w AS next_piece, lead(pos) OVER w AS next_pos,
+               CASE WHEN lead(piece, 2) OVER w = piece THEN lead(here, 2) OVER w ELSE -1 END AS after
         FROM state WHERE step < {MAX_STEPS} WINDOW w AS (ORDER BY pos)
     ), ranked AS (
-        SELECT piece, next_pos, (merged::BIGINT << 32) + pos AS score
-        FROM paired JOIN merges USING (pair) WHERE next_piece = piece
+        SELECT piece, pos, next_pos, merged, tok * 512 + before AS left_key, next_tok * 512 + after AS right_key
+        FROM paired JOIN merges ON pair = tok * 65536::BIGINT + next_tok WHERE next_piece = piece
     ), best AS (
-        SELECT piece, min(score) AS score, arg_min(next_pos, score) AS gone FROM ranked GROUP BY piece
+        SELECT piece, min((merged::BIGINT << 32) + pos) AS score FROM ranked GROUP BY piece
+    ), chosen AS (
+        SELECT pos, next_pos, merged FROM ranked JOIN best USING (piece)
+        LEFT JOIN lefts USING (left_key) LEFT JOIN rights USING (right_key)
+        WHERE (merged::BIGINT << 32) + pos = score
+           OR (coalesce(left_least, {1 << 30}) > merged AND coalesce(right_least, {1 << 30}) > merged)
+    ), changes AS (
+        SELECT pos, merged FROM chosen UNION ALL SELECT next_pos, -1 FROM chosen
     )
-    SELECT s.step + 1, s.piece, s.pos, CASE WHEN s.pos = score % 4294967296 THEN (score >> 32)::INTEGER ELSE s.tok END
-    FROM state s JOIN best USING (piece) WHERE s.pos <> gone)
+    SELECT s.step + 1, s.piece, s.pos, coalesce(c.merged, s.tok), s.before, s.here
+    FROM state s SEMI JOIN best ON s.piece = best.piece LEFT JOIN changes c ON s.pos = c.pos
+    WHERE coalesce(c.merged, 0) >= 0)
 ), finished AS (
     SELECT piece, max(step) AS step FROM state GROUP BY piece
 )
-SELECT piece, pos, tok, step FROM state JOIN finished USING (piece, step) ORDER BY pos
+SELECT piece, pos, tok, step, before, here FROM state JOIN finished USING (piece, step) ORDER BY pos
 """
 
-#: The same contractions, but all occurrences in a step where that cannot change the result.
+#: The smallest pair of each piece, in all its occurrences where that cannot change the result.
 LONG_SQL = f"""
 WITH RECURSIVE state(step, piece, pos, tok) AS (
     SELECT 0, piece, pos, tok FROM start_rows
@@ -118,12 +128,16 @@ class Codec:
         self.byte_token = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         left, right, merged = [], [], []
+        lefts: dict[int, int] = {}  # (a merge's right token, last byte of its left one) -> smallest rank
+        rights: dict[int, int] = {}  # (a merge's left token, first byte of its right one) -> smallest rank
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 if token[:cut] in self.ranks and token[cut:] in self.ranks:
                     left.append(self.ranks[token[:cut]])
                     right.append(self.ranks[token[cut:]])
                     merged.append(rank)
+                    for least, key in ((lefts, right[-1] * 512 + token[cut - 1]), (rights, left[-1] * 512 + token[cut])):
+                        least[key] = min(rank, least.get(key, rank))
         left, right, merged = (np.array(x, dtype=np.int64) for x in (left, right, merged))
         lowest = np.full(int(merged.max(initial=255)) + 1 + len(self.ranks), np.iinfo(np.int64).max)
         np.minimum.at(lowest, left, merged)  # the smallest rank of a merge that has the token as a part
@@ -133,13 +147,17 @@ class Codec:
             pa.table({"pair": left * 65536 + right, "merged": merged.astype(np.int32), "every": lowest[merged] > merged}),
         )
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
+        for side, least in (("left", lefts), ("right", rights)):
+            rows = {f"{side}_key": pa.array(least.keys(), pa.int32()), f"{side}_least": pa.array(least.values(), pa.int32())}
+            self._register(f"{side}_rows", pa.table(rows))
+            self.db.execute(f"CREATE TABLE {side}s AS SELECT * FROM {side}_rows")
         # Bytes as characters 0 to 255: tokens need not be valid UTF-8 on their own.
         ids = np.fromiter(self.ranks.values(), dtype=np.int32)
         self._register("token_rows", pa.table({"tok": ids, "chars": [t.decode("latin-1") for t in self.ranks]}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM token_rows")
         self.starts_run = np.zeros(int(ids.max()) + 1, dtype=bool)
         self.starts_run[[rank for token, rank in self.ranks.items() if token[:1] == b" "]] = True
-        self.chunks, self.pieces, self.runs = (Recent(CACHE_ENTRIES) for _ in range(3))
+        self.pieces, self.runs = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
 
     def _register(self, name: str, table) -> None:
         self.db.register(name, table)
@@ -150,30 +168,31 @@ class Codec:
 
         sizes = np.array([len(p) for p in pieces], dtype=np.int64)
         data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
-        pos, tok = np.arange(len(data), dtype=np.int64), self.byte_token[data]
+        short = sizes.max(initial=0) <= SHORT_BYTES
+        state = {"piece": np.repeat(np.arange(len(pieces), dtype=np.int32), sizes), "pos": np.arange(len(data), dtype=np.int64)}
+        state["tok"] = self.byte_token[data]
+        if short:  # the byte before each byte, -1 where a piece begins, and the byte itself
+            before = np.concatenate(([-1], data[:-1].astype(np.int32)))[: len(data)]
+            before[(np.cumsum(sizes) - sizes)[sizes > 0]] = -1
+            state |= {"before": before.astype(np.int32), "here": data.astype(np.int32)}
         found = [b""] * len(pieces)
-        sql = SHORT_SQL if sizes.max(initial=0) <= SHORT_BYTES else LONG_SQL
-        while len(tok):
-            self._register("start_rows", pa.table({"piece": piece, "pos": pos, "tok": tok}))
-            rows = self.db.sql(sql).fetchnumpy()
-            piece, pos, tok = (np.asarray(rows[c]) for c in ("piece", "pos", "tok"))
+        while len(state["tok"]):
+            self._register("start_rows", pa.table(state))
+            rows = self.db.sql(SHORT_SQL if short else LONG_SQL).fetchnumpy()
             unfinished = np.asarray(rows["step"]) == MAX_STEPS
-            owner, ids = piece[~unfinished], tok[~unfinished].astype("<u4").tobytes()
+            owner, ids = np.asarray(rows["piece"])[~unfinished], np.asarray(rows["tok"])[~unfinished].astype("<u4").tobytes()
             bounds = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(owner)]
             for first, stop in zip(bounds, bounds[1:], strict=False):
                 if stop > first:
                     found[owner[first]] = ids[4 * first : 4 * stop]
-            piece, pos, tok = piece[unfinished], pos[unfinished], tok[unfinished]
+            state = {c: np.asarray(rows[c])[unfinished] for c in state}
         return found
 
-    def fill(self, chunks: set[str]) -> dict[str, bytes]:
-        """The chunk cache's young generation after it has got every one of ``chunks`` (ids as u32 bytes)."""
-        cache = self.chunks.fresh()
-        cut = {chunk: [p.encode() for p in self.pattern.findall(chunk)] for chunk in self.chunks.missing(chunks)}
+    def fill(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """The piece cache's young generation after it has got every one of ``pieces`` (ids as u32 bytes)."""
         ids_of = self.pieces.fresh()
         short, long = [], []
-        for piece in self.pieces.missing(set(chain.from_iterable(cut.values()))):
+        for piece in self.pieces.missing(pieces):
             rank = self.ranks.get(piece)
             if rank is not None:
                 ids_of[piece] = rank.to_bytes(4, "little")
@@ -187,62 +206,98 @@ class Codec:
                 if size >= BATCH_BYTES or number == len(waiting) - 1:
                     ids_of.update(zip(queue, self.merge_pieces(queue), strict=True))
                     queue, size = [], 0
-        for chunk, pieces in cut.items():
-            cache[chunk] = b"".join([ids_of[p] for p in pieces])
-        return cache
+        return ids_of
+
+    def chunk_ids(self, words: list[str], others: list[str]):
+        """Ids (as u32 bytes) of each word with a space before it, and then of each other chunk, as an Arrow array."""
+        import pyarrow as pa
+
+        # The pattern begins a new piece at each word's space, so the words are cut together.
+        cut = [p.encode() for p in self.pattern.findall(" " + " ".join(words))] if words else []
+        sizes = np.array([len(w.encode()) + 1 for w in words], dtype=np.int64)
+        first = np.searchsorted(np.cumsum([0, *map(len, cut)]), np.cumsum(sizes) - sizes)
+        odd = [[p.encode() for p in self.pattern.findall(chunk)] for chunk in others]
+        first = np.concatenate((first, len(cut) + np.cumsum([0, *map(len, odd)])))  # each chunk's first piece, and the end
+        cut.extend(chain.from_iterable(odd))
+        ids = [*map(self.fill(set(cut)).__getitem__, cut)]
+        ends = np.cumsum([0, *map(len, ids)])[first]
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(first) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(ids))]
+        )
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text: looked up word by word where all its spaces stand between two words."""
-        split = [text.split(" ") for text in texts]
-        words = set(chain.from_iterable(split))
-        odd = {w for w in words if not w or w[0].isspace() or w[-1].isspace()}
-        plain = [not odd or odd.isdisjoint(parts) for parts in split]
-        chunks = {" " + w for w in words if w not in odd}
-        others = [None if p else split_chunks(parts) for p, parts in zip(plain, split, strict=True)]
-        chunks.update(parts[0] for parts in split)
-        chunks.update(chain.from_iterable(filter(None, others)))
-        cache = self.fill(chunks)
-        spaced = {w: cache[" " + w] for w in words if w not in odd}.__getitem__
-        out = []
-        for parts, other in zip(split, others, strict=True):
-            if other is None:
-                out.append(cache[parts[0]] + b"".join(map(spaced, parts[1:])))
-            else:
-                out.append(b"".join([cache[c] for c in other]))
-        return [np.frombuffer(ids, dtype="<u4") for ids in out]
+        """Ids of each text: looked up word by word, the distinct words of all texts being cut once."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = pc.dictionary_encode(split.flatten())
+        words, word = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        after_space = np.array([not w or w[0].isspace() for w in words])
+        before_space = np.array([not w or w[-1].isspace() for w in words])
+        bounds = split.offsets.to_numpy()
+        # A text is cut before each word that stands, like the word before it, without other white space at that place.
+        cuts = np.concatenate(([True], ~before_space[word[:-1]] & ~after_space[word[1:]]))
+        cuts[bounds[:-1]] = True  # a text has one word at least, perhaps an empty one
+        first = np.flatnonzero(cuts)
+        stop = np.append(first[1:], len(word))
+        alone = stop - first == 1
+        alone[np.searchsorted(first, bounds[:-1])] = False  # a text's first chunk has no space before it
+        # The other chunks' numbers follow those of the words.
+        place, others, numbers = word[first].astype(np.int64), [], {}
+        begins = set(bounds[:-1].tolist())
+        at = np.flatnonzero(~alone)
+        for n, a, b in zip(at.tolist(), first[at].tolist(), stop[at].tolist(), strict=True):
+            chunk = "" if a in begins else " "
+            chunk += " ".join([words[w] for w in word[a:b].tolist()])
+            place[n] = numbers.setdefault(chunk, len(words) + len(numbers))
+        others = list(numbers)
+        used = np.zeros(len(words) + len(others), dtype=bool)
+        used[place] = True
+        number = np.cumsum(used) - 1
+        known = self.chunk_ids([w for w, own in zip(words, used, strict=False) if own], others)
+        return [ids.view("<u4") for ids in pieces_of(known.take(pa.array(number[place])), np.searchsorted(first, bounds))]
 
     def decode(self, sequences: list[np.ndarray]) -> list[bytes]:
         import pyarrow as pa
-
-        cut = []
-        for ids in sequences:
-            data, bounds = ids.astype("<u4").tobytes(), (np.flatnonzero(self.starts_run[ids]) * 4).tolist()
-            cut.append([data[a:b] for a, b in zip([0, *bounds], [*bounds, len(data)], strict=True)])
+        import pyarrow.compute as pc
+
+        if not sequences:
+            return []
+        sizes = np.array([len(ids) for ids in sequences], dtype=np.int64)
+        flat = np.concatenate(sequences).astype("<u4")
+        starts = self.starts_run[flat]
+        text_starts = np.cumsum(sizes) - sizes
+        starts[text_starts[sizes > 0]] = True
+        bounds = np.append(np.flatnonzero(starts), len(flat))
+        offsets = pa.py_buffer((bounds * 4).astype(np.int64))
+        cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(flat.tobytes())])
+        coded = pc.dictionary_encode(cut)
+        runs = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         cache = self.runs.fresh()
-        unknown = self.runs.missing(set(chain.from_iterable(cut)))
+        unknown = self.runs.missing(set(runs))
         for at in range(0, len(unknown), 100_000):
             part = unknown[at : at + 100_000]
-            sizes = np.array([len(run) // 4 for run in part])
+            lengths = np.array([len(run) // 4 for run in part])
             tokens = np.frombuffer(b"".join(part), dtype="<u4").astype(np.int32)
-            rows = {"run": np.repeat(np.arange(len(part), dtype=np.int32), sizes), "pos": np.arange(len(tokens)), "tok": tokens}
+            rows = {"run": np.repeat(np.arange(len(part), dtype=np.int32), lengths), "pos": np.arange(len(tokens)), "tok": tokens}
             self._register("run_rows", pa.table(rows))
             decoded = self.db.sql(DECODE_SQL).fetchnumpy()
-            cache.update((run, b"") for run in part if not run)
             cache.update(
                 (part[run], chars.encode("latin-1")) for run, chars in zip(decoded["run"], decoded["chars"], strict=True)
             )
-        return [b"".join(map(cache.__getitem__, runs)) for runs in cut]
-
-
-def split_chunks(parts: list[str]) -> list[str]:
-    """Join a text's space-separated parts again except at spaces between two other characters."""
-    out = parts[:1]
-    for part in parts[1:]:
-        if part and out[-1] and not part[0].isspace() and not out[-1][-1].isspace():
-            out.append(" " + part)
-        else:
-            out[-1] += " " + part
-    return out
+        known = pa.array([cache[run] for run in runs], pa.large_binary())
+        edges = np.searchsorted(bounds, np.append(text_starts, len(flat)))
+        return [part.tobytes() for part in pieces_of(known.take(coded.indices), edges)]
+
+
+def pieces_of(joined, edges: np.ndarray) -> list[np.ndarray]:
+    """The bytes of an Arrow binary array's values from each of ``edges`` up to the next."""
+    offsets = np.frombuffer(joined.buffers()[1], dtype=np.int64, count=len(joined) + 1)[edges].tolist()
+    data = np.frombuffer(joined.buffers()[2] or b"", dtype=np.uint8)
+    return [data[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
 
 
 def batches_of(texts: pd.Series, limit: int = BATCH_CHARS) -> Iterator[slice]:
