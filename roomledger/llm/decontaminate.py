@@ -10,9 +10,10 @@
    part of A'AW for a fixed random W, the parts are summed by term in one aggregation, and the driver
    orthonormalises the terms x rank matrix (its size does not depend on the corpus) and takes the
    singular values from the one-pass formula.
-4. Every passage is projected and compared by cosine with every segment of every benchmark item, in
-   blocks. Pairs above ``COSINE`` lead to the passages from which the item's words may be in reach: a bound
-   that verification implies (``fewest``, ``least_of_passage``), so it leaves out no pair that would pass.
+4. Every passage that has enough words of an item is projected and compared by cosine with every segment of
+   every benchmark item, in blocks. Pairs above ``COSINE`` lead to the passages from which the item's words may
+   be in reach: a bound that verification implies (``fewest``, ``least_of_passage``, and the longest common
+   subsequence of the term numbers), so it leaves out no pair that would pass.
 5. Candidates are verified on the words themselves: the longest common subsequence of the item and the
    stretch of text around the passage must cover ``COVERED`` of the item, or ``PARAPHRASED`` of it if the
    item's answer (its last ``ANSWER`` words, or share of them) is there as well.
@@ -37,10 +38,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roomledger.llm.byte_bpe import batches_of
 from roomledger.llm.common import frame as rows_frame
 from roomledger.llm.common import id_text, worker_cache
 from roomledger.session import stage
@@ -55,11 +59,13 @@ COVERED, PARAPHRASED = 0.8, 0.65
 ANSWER, ANSWER_COVERED = 0.25, 0.75
 LEAST_WORDS = 8
 SEED = 42
-CACHE_ENTRIES = 250_000
+SLICE = 8_000_000  # characters of texts tokenised at once
 BLOCK = 1_000_000  # cosines computed at once
 MOST_KEYS = 2_000_000  # of 16 bytes, broadcast at most
 MOST_ITEMS = 50_000  # benchmark texts that are sent to every task at once
 CHUNK = 8_000  # words projected at once; their rows fit into a processor's cache
+MASK_WORDS = 64  # item words in one number's bits
+MASKS = 2_000_000  # such numbers in one table
 STRIP = ".,;:!?\"'()[]{}<>*_#|"
 
 
@@ -72,23 +78,23 @@ def term(token: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) % (TERMS - 1) + 1 if word else 0
 
 
-class Terms(dict):
-    """token -> term, found out at first use; emptied between batches when it has grown too large."""
-
-    def __missing__(self, token: str) -> int:
-        self[token] = found = term(token)
-        return found
-
-    def bounded(self) -> Terms:
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
-        return self
+def terms_of(text: str) -> np.ndarray:
+    tokens = text.split()
+    return np.fromiter(map(term, tokens), dtype=np.uint16, count=len(tokens))
 
 
-def terms_of(text: str, cache: Terms | None = None) -> np.ndarray:
-    tokens = text.split()
-    known = Terms() if cache is None else cache
-    return np.fromiter(map(known.__getitem__, tokens), dtype=np.uint16, count=len(tokens))
+def terms_of_texts(texts: pd.Series) -> list[np.ndarray]:
+    """``terms_of`` each text; the distinct tokens of all of them are worked out once."""
+    split = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))  # at the white space of str.split
+    coded = pc.dictionary_encode(split.flatten())
+    tokens, place = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+    words = [word.strip(STRIP) for word in " ".join(tokens).lower().split(" ")]
+    digest = xxhash.xxh64_intdigest
+    known = np.array([digest(word.encode()) % (TERMS - 1) + 1 if word else 0 for word in words], dtype=np.uint16)
+    real = (tokens != "")[place]  # white space at an end leaves an empty token
+    bounds = np.concatenate(([0], np.cumsum(real)))[split.offsets.to_numpy()].tolist()
+    flat = known[place[real]]
+    return [flat[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
 def text_keys() -> dict:
@@ -101,12 +107,14 @@ def tokenised(docs: DataFrame, least_words: int) -> DataFrame:
     rows = id_text(docs).withColumns(text_keys()).select("key1", "key2", "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = worker_cache(("decontaminate",), Terms)
-        for frame in frames:
-            cache = known.bounded()
-            few = [short(t, least_words) for t in frame["text"]]
-            terms = [terms_of(t, cache).tobytes() for t in frame["text"]]
-            yield pd.DataFrame({"key1": frame["key1"], "key2": frame["key2"], "terms": terms, "words": few})
+        worker_cache(("decontaminate",), dict)  # nothing is kept, but another operator's caches go
+        for whole in frames:
+            for part in batches_of(whole["text"], SLICE):
+                frame = whole.iloc[part]
+                terms = terms_of_texts(frame["text"])
+                few = [short(t, least_words) if np.count_nonzero(n) < least_words else None for t, n in zip(frame["text"], terms, strict=True)]
+                data = [n.tobytes() for n in terms]
+                yield pd.DataFrame({"key1": frame["key1"].to_numpy(), "key2": frame["key2"].to_numpy(), "terms": data, "words": few})
 
     return stage(rows.mapInPandas(run, "key1 long, key2 long, terms binary, words string"), "terms")
 
@@ -126,12 +134,16 @@ def frequencies(tokens: DataFrame) -> np.ndarray:
     """Number of documents that have each term; position 0 holds the number of documents."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(TERMS, dtype=np.int64)
-        for frame in frames:
-            for data in frame["terms"]:
-                found = np.unique(np.frombuffer(data, dtype=np.uint16))
-                counts[found[found > 0]] += 1
-            counts[0] += len(frame)
+        counts, documents = np.zeros(TERMS, dtype=np.int64), 0
+        for frame in batches(frames):
+            texts = [np.frombuffer(t, dtype=np.uint16) for t in frame["terms"]]
+            flat = np.concatenate(texts)
+            owner = np.repeat(np.arange(len(texts), dtype=np.uint32 if len(texts) <= 1 << 16 else np.uint64), [len(t) for t in texts])
+            pairs = np.sort(owner * owner.dtype.type(TERMS) + flat)  # (text, term)
+            once = np.concatenate(([True], pairs[1:] != pairs[:-1]))[: len(pairs)]
+            counts += np.bincount((pairs[once] % TERMS).astype(np.int64), minlength=TERMS)
+            documents += len(frame)
+        counts[0] = documents
         some = np.flatnonzero(counts)
         yield pd.DataFrame({"term": some.astype(np.int32), "n": counts[some]})
 
@@ -147,66 +159,56 @@ class Passages:
 
     def __init__(self, texts: list[np.ndarray], weights: np.ndarray):
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        self.flat = np.concatenate([*texts, np.zeros(0, dtype=np.uint16)])
+        self.flat = np.concatenate([*texts, np.zeros(1, dtype=np.uint16)])  # and a word without weight at the end
+        self.weights = weights
         starts = np.cumsum(sizes) - sizes
         blocks = -(-sizes // HALF)
         self.text = np.repeat(np.arange(len(texts)), blocks)
         self.number = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         self.start = starts[self.text] + self.number * HALF  # a block's first word, and that of the passage it begins
-        self.last = self.number == blocks[self.text] - 1
-        self.weights = weights[self.flat]
-        some = np.flatnonzero(self.weights)  # most words are too common or too rare to have a weight
-        self.terms, self.weights = self.flat[some], self.weights[some]
-        self.block = np.repeat(np.arange(len(self.start)), np.diff(np.append(self.start, len(self.flat))))[some]
-        self.place = (some - self.start[self.block]).astype(np.int8)
+        self.first, self.end = starts[self.text], (starts + sizes)[self.text]  # the text's first word, and that after its last
+        self.goes_on = self.start + HALF < self.end  # there is a next block of the same text
+        self.at = self.start[:, None] + np.arange(HALF)
+        self.at[self.at >= self.end[:, None]] = len(self.flat) - 1
+        terms = self.flat[self.at]
+        self.terms = np.where(weights[terms] > 0, terms, 0)  # term 0 stands for all without a weight
 
     def sums(self, rows: np.ndarray) -> np.ndarray:
-        """Per passage: the weighted sum of its words' rows."""
+        """Per passage: the sum of its words' rows, which have their weights in them."""
         out = np.zeros((len(self.start), rows.shape[1]), dtype=np.float32)
-        for place in range(HALF):  # a block has one word at each place, so no row is added to twice at once
-            at = np.flatnonzero(self.place == place)
-            for a in range(0, len(at), CHUNK):
-                some = at[a : a + CHUNK]
-                out[self.block[some]] += rows[self.terms[some]] * self.weights[some, None]
+        for a in range(0, len(out), CHUNK // HALF):
+            out[a : a + CHUNK // HALF] = added(rows, self.terms[a : a + CHUNK // HALF])
         return self.paired(out)
 
     def paired(self, blocks: np.ndarray) -> np.ndarray:
         """Each block plus the next one of its text."""
         out = blocks.copy()
-        out[:-1][~self.last[:-1]] += blocks[1:][~self.last[:-1]]
+        out[:-1] += blocks[1:] * self.goes_on[:-1].reshape(-1, *[1] * (blocks.ndim - 1))
         return out
 
-    def words(self) -> np.ndarray:
-        """Number of words of each passage."""
-        return np.minimum(WINDOW, self.bounds()[1] - self.start)
-
-    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
-        """The first word of each passage's text, and the word after its last."""
-        end = np.append(self.start, len(self.flat))[np.searchsorted(self.text, self.text, side="right")]
-        return self.start - self.number * HALF, end
-
-    def only(self, passages: np.ndarray) -> None:
-        """Leave the weighted words of other passages out of the sums."""
-        needed = passages.copy()  # a passage is its own block and the next one of its text
-        needed[1:] |= passages[:-1] & ~self.last[:-1]
-        kept = needed[self.block]
-        self.terms, self.weights = self.terms[kept], self.weights[kept]
-        self.block, self.place = self.block[kept], self.place[kept]
-
     def lengths(self) -> np.ndarray:
-        squares = np.bincount(self.block, weights=self.weights.astype(np.float64) ** 2, minlength=len(self.start))
-        return np.sqrt(self.paired(squares))
+        return np.sqrt(self.paired((self.weights[self.terms].astype(np.float64) ** 2).sum(axis=1)))
 
     def add_back(self, values: np.ndarray, out: np.ndarray) -> None:
-        """out += A' values, for one value row per passage."""
+        """out += A' values, for one value row per passage, without the words' weights."""
         own = values.copy()  # a block's words are in the passage it begins and in the one before
-        own[1:][~self.last[:-1]] += values[:-1][~self.last[:-1]]
-        order = np.argsort(self.terms, kind="stable")
+        own[1:] += values[:-1] * self.goes_on[:-1, None]
+        terms = self.terms.ravel()
+        order = np.argsort(terms, kind="stable")
+        order = order[np.searchsorted(terms, 1, sorter=order) :]
         for a in range(0, len(order), CHUNK):
             at = order[a : a + CHUNK]
-            found = self.terms[at]
+            found = terms[at]
             first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-            out[found[first]] += np.add.reduceat(own[self.block[at]] * self.weights[at, None], first, axis=0)
+            out[found[first]] += np.add.reduceat(np.take(own, at // HALF, axis=0), first, axis=0)
+
+
+def added(rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The sum of the rows at each line of ``places``."""
+    out = np.take(rows, places[:, 0], axis=0)
+    for place in range(1, places.shape[1]):
+        out += np.take(rows, places[:, place], axis=0)
+    return out
 
 
 def batches(frames: Iterator[pd.DataFrame], words: int = 1_000_000) -> Iterator[pd.DataFrame]:
@@ -244,12 +246,13 @@ def latent_space(tokens: DataFrame, items: list[np.ndarray]) -> Space:
     random = np.random.default_rng(SEED).normal(size=(TERMS, RANK)).astype(np.float32)
 
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((TERMS, RANK), dtype=np.float32)
+        total, rows = np.zeros((TERMS, RANK), dtype=np.float32), random * weights[:, None]
         for frame in batches(frames):
             found = Passages([np.frombuffer(t, dtype=np.uint16) for t in frame["terms"]], weights)
-            if len(found.terms):
+            if found.terms.any():
                 scale = np.maximum(found.lengths(), 1e-6)[:, None] ** 2  # rows of A have length one on both sides
-                found.add_back((found.sums(random) / scale).astype(np.float32), total)
+                found.add_back((found.sums(rows) / scale).astype(np.float32), total)
+        total *= weights[:, None]
         some = np.flatnonzero(total.any(axis=1))
         yield pd.DataFrame(total[some], columns=names).assign(term=some.astype(np.int32))
 
@@ -307,39 +310,64 @@ def least_of_passage(length: int) -> int:
     return -(-fewest(length) // (reach(length) + 1))
 
 
-def in_reach(found: Passages, passages: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place in ``passages``, half windows from there) of passages whose stretch holds enough of the item's words.
+class Reach:
+    """Upper bounds of the common subsequences of items and stretches of a batch, on numbers of the items' terms.
 
-    A common subsequence has no word more often than the item and the stretch have it.
+    An item's words are the bits of numbers, ``MASK_WORDS`` in each; what the parts of a longer item have in common
+    with a stretch adds up to a bound of the whole.
     """
-    distinct, times = np.unique(terms[terms > 0], return_counts=True)
-    local = np.zeros(TERMS, dtype=np.int64)
-    local[distinct] = np.arange(1, len(distinct) + 1)
-    size, steps, least = len(terms), reach(len(terms)), fewest(len(terms)) - int((terms == 0).sum())
-    before = steps * HALF + size
-    first, end = found.bounds()
-
-    def enough(rows: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
-        out = np.zeros(len(rows), dtype=bool)
-        for a in range(0, len(rows), 20_000):
-            own, at = rows[a : a + 20_000], start[a : a + 20_000, None] + np.arange(width)
-            there = (at >= first[passages[own], None]) & (at < end[passages[own], None])
-            word = np.where(there, local[found.flat[np.clip(at, 0, len(found.flat) - 1)]], 0)
-            word += np.arange(len(own))[:, None] * (len(distinct) + 1)
-            held = np.bincount(word.ravel(), minlength=len(own) * (len(distinct) + 1)).reshape(len(own), -1)[:, 1:]
-            out[a : a + 20_000] = np.minimum(held, times).sum(axis=1) >= least
+
+    def __init__(self, items: list[np.ndarray], known: int):
+        self.items, self.known = items, known
+        self.parts = np.array([-(-len(terms) // MASK_WORDS) for terms in items], dtype=np.int64)
+        self.at_once = max(1, MASKS // ((known + 1) * int(self.parts.max(initial=1))))  # items in one table
+
+    def table(self, group: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the items of a group: where each one's parts begin, the parts' lengths, and their masks by word number."""
+        own = self.items[group * self.at_once : (group + 1) * self.at_once]
+        parts = [terms[a : a + MASK_WORDS] for terms in own for a in range(0, len(terms), MASK_WORDS)]
+        masks = np.zeros((len(parts), self.known + 1), dtype=np.uint64)
+        for part, terms in enumerate(parts):
+            for bit, word in enumerate(terms.tolist()):
+                masks[part, word] |= np.uint64(1 << bit)
+        masks[:, 0] = 0
+        first = np.cumsum([0, *(-(-len(terms) // MASK_WORDS) for terms in own)])
+        return first, np.array([len(p) for p in parts], dtype=np.int64), masks.ravel()
+
+    def most(self, words: np.ndarray, item: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """For each item number and stretch of ``words``: a bound of the words in common. The last word is in no item."""
+        out = np.zeros(len(item), dtype=np.int64)
+        order = np.lexsort((stop - start, item // self.at_once))
+        for at in np.split(order, np.flatnonzero(np.diff(item[order] // self.at_once)) + 1):
+            if len(at):
+                group = int(item[at[0]]) // self.at_once
+                first, sizes, masks = self.table(group)
+                local = item[at] - group * self.at_once
+                parts = self.parts[item[at]]
+                row = np.repeat(np.arange(len(at)), parts)
+                part = first[local][row] + np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+                for a in range(0, len(row), CHUNK):
+                    own, of = at[row[a : a + CHUNK]], part[a : a + CHUNK]
+                    kept = self.uncovered(words, masks, of * (self.known + 1), start[own], stop[own])
+                    bits = np.uint64(MASK_WORDS) - sizes[of].astype(np.uint64)  # an item's last bits are the number's lowest
+                    np.add.at(out, own, sizes[of] - np.bitwise_count(kept << bits).astype(np.int64))
         return out
 
-    rows = np.arange(len(passages))
-    rows = rows[enough(rows, found.start[passages] - before, 2 * before + WINDOW)]  # all stretches together
-    places, shifts = [rows[:0]], [rows[:0]]
-    for shift in range(-steps, steps + 1):
-        at = found.start[passages[rows]] + shift * HALF
-        own = rows[(at >= first[passages[rows]]) & (at < end[passages[rows]])]
-        own = own[enough(own, found.start[passages[own]] + shift * HALF - size, 2 * size + WINDOW)]
-        places.append(own)
-        shifts.append(np.full(len(own), shift))
-    return np.concatenate(places), np.concatenate(shifts)
+    @staticmethod
+    def uncovered(words: np.ndarray, masks: np.ndarray, of: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """``common_subsequence`` for many pairs at once: the bits left after all words of the stretches."""
+        left = np.full(len(of), ~np.uint64(0))
+        for step in range(int((stop - start).max(initial=0))):
+            at = start + step
+            match = left & masks[of + words[np.where(at < stop, at, len(words) - 1)]]
+            left = (left + match) | (left - match)
+        return left
+
+
+def first_of(keys: np.ndarray, *by: np.ndarray) -> np.ndarray:
+    """The place of each key's first entry in the order of ``by``."""
+    order = np.lexsort((*by[::-1], keys))
+    return order[np.concatenate(([True], np.diff(keys[order]) != 0))[: len(order)]]
 
 
 def candidates(tokens: DataFrame, space: Space, items: Items) -> DataFrame:
@@ -348,56 +376,85 @@ def candidates(tokens: DataFrame, space: Space, items: Items) -> DataFrame:
     known = np.unique(np.concatenate([terms[terms > 0] for terms in items.terms]))
     number = np.zeros(TERMS, dtype=np.uint16)  # 0: in no item
     number[known] = np.arange(1, len(known) + 1)
-    holds = np.zeros((len(items.words), len(known) + 1), dtype=bool)
-    for i, terms in enumerate(items.terms):
-        holds[i, number[terms[terms > 0]]] = True
-    least = np.array([least_of_passage(len(terms)) for terms in items.terms])
+    numbered = [number[terms] for terms in items.terms]
+    holds = np.zeros((len(known) + 1, len(items.words)), dtype=np.uint8)
+    for i, terms in enumerate(numbered):
+        holds[terms[terms > 0], i] = 1
+    sizes = np.array([len(terms) for terms in items.terms], dtype=np.int64)
+    least = np.array([least_of_passage(n) for n in sizes])
+    least_there, steps = np.array([fewest(n) for n in sizes]), np.array([reach(n) for n in sizes])
+    least_there -= np.array([int((terms == 0).sum()) for terms in items.terms])
     block = max(1, BLOCK // max(1, len(owner)))
 
+    def near_pairs(found: Passages, words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, item, cosine) of the passages near a segment of an item and with enough words of it."""
+        out = [(np.zeros(0, dtype=np.int64), owner[:0], vectors[:0, 0])]
+        there = words[found.at]
+        # A passage with too few words of all items together has too few of each.
+        likely = found.paired((there > 0).sum(axis=1)) >= least.min()
+        for a in range(0, len(there), block):
+            stop = min(a + block, len(there))
+            own = np.flatnonzero(likely[a:stop]) + a
+            if not len(own):
+                continue
+            after = np.minimum(own + 1, len(there) - 1)
+            goes_on = found.goes_on[own]
+            held = added(holds, there[own])
+            held += added(holds, there[after]) * goes_on[:, None]
+            enough = held >= least
+            some = enough.any(axis=1)
+            own, after, goes_on, enough = own[some], after[some], goes_on[some], enough[some]
+            latent = added(rows, found.terms[own])
+            latent += added(rows, found.terms[after]) * goes_on[:, None]
+            size = np.sqrt((latent * latent).sum(axis=1))
+            some = size > 1e-6
+            near = ((latent[some] / size[some, None]) @ vectors.T).ravel()
+            hit = np.flatnonzero(near >= COSINE)
+            row, segment = np.divmod(hit, max(1, len(owner)))
+            both = enough[some][row, owner[segment]]
+            out.append((own[some][row[both]], owner[segment[both]], near[hit[both]]))
+        passage, item, cosine = (np.concatenate(x) for x in zip(*out, strict=True))
+        best = first_of(item * len(there) + passage, -cosine)
+        return passage[best], item[best], cosine[best]
+
+    def in_reach(bounds: Reach, found: Passages, words: np.ndarray, passage: np.ndarray, item: np.ndarray, cosine: np.ndarray):
+        """(passage, item, cosine) of the passages around these whose stretch may hold enough of the item."""
+
+        def enough(passage: np.ndarray, item: np.ndarray, around: np.ndarray) -> np.ndarray:
+            start = np.maximum(found.start[passage] - around, found.first[passage])
+            stop = np.minimum(found.start[passage] + WINDOW + around, found.end[passage])
+            return bounds.most(words, item, start, stop) >= least_there[item]
+
+        some = enough(passage, item, steps[item] * HALF + sizes[item])  # all stretches together
+        passage, item, cosine = passage[some], item[some], cosine[some]
+        shifts = 2 * steps[item] + 1
+        row = np.repeat(np.arange(len(item)), shifts)
+        shift = np.arange(len(row)) - np.repeat(np.cumsum(shifts) - shifts, shifts) - steps[item][row]
+        at = passage[row] + shift
+        some = (at >= 0) & (at < len(found.text))
+        some[some] = found.text[at[some]] == found.text[passage[row[some]]]
+        row, shift, at = row[some], shift[some], at[some]
+        best = first_of(item[row] * len(found.text) + at, np.abs(shift), -cosine[row])  # the nearest passage that led there
+        row, at = row[best], at[best]
+        some = enough(at, item[row], sizes[item[row]])
+        return at[some], item[row[some]], cosine[row[some]]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bounds, rows = Reach(numbered, len(known)), space.vectors * space.weights[:, None]
         for frame in batches(frames):
             found = Passages([np.frombuffer(t, dtype=np.uint16) for t in frame["terms"]], space.weights)
-            words, length = number[found.flat], found.words()
-            # A passage with too few words of all items together has too few of each.
-            upto = np.concatenate(([0], np.cumsum(words > 0)))
-            likely = upto[found.start + length] - upto[found.start] >= least.min()
-            found.only(likely)
-            latent = found.sums(space.vectors)
-            size = np.sqrt((latent * latent).sum(axis=1))
-            there = np.flatnonzero(likely & (size > 1e-6))
-            near_pairs = []
-            for a in range(0, len(there), block):
-                rows = there[a : a + block]
-                near = (latent[rows] / size[rows, None]) @ vectors.T
-                row, segment = np.nonzero(near >= COSINE)
-                window = words[np.minimum(found.start[rows, None] + np.arange(WINDOW), len(words) - 1)]
-                window[np.arange(WINDOW) >= length[rows, None]] = 0
-                for b in range(0, len(row), 500_000):
-                    r, s = row[b : b + 500_000], segment[b : b + 500_000]
-                    enough = holds[owner[s][:, None], window[r]].sum(axis=1) >= least[owner[s]]
-                    r, s = r[enough], s[enough]
-                    near_pairs.append(pd.DataFrame({"passage": rows[r], "item": owner[s], "cosine": near[r, s]}))
-            if not near_pairs:
-                continue
-            pairs = pd.concat(near_pairs).groupby(["item", "passage"], as_index=False)["cosine"].max()
-            out = []
-            for item, own in pairs.groupby("item"):
-                passages = own["passage"].to_numpy()
-                place, shift = in_reach(found, passages, items.terms[item])
-                at = passages[place] + shift
-                cosine = own["cosine"].to_numpy()[place]
-                out.append(pd.DataFrame({"passage": at, "item": item, "far": np.abs(shift), "cosine": cosine}))
-            if out:
-                best = pd.concat(out).sort_values(["far", "cosine"], ascending=[True, False]).drop_duplicates(["passage", "item"])
-                at = best["passage"].to_numpy()
+            words = number[found.flat]
+            pairs = near_pairs(found, words, rows)
+            at, item, cosine = in_reach(bounds, found, words, *pairs)
+            if len(at):
                 own = frame.iloc[found.text[at]]
                 yield pd.DataFrame(
                     {
                         "key1": own["key1"].to_numpy(),
                         "key2": own["key2"].to_numpy(),
-                        "item": best["item"].to_numpy().astype(np.int32),
+                        "item": item.astype(np.int32),
                         "start": (found.number[at] * HALF).astype(np.int32),
-                        "cosine": best["cosine"].to_numpy().astype(np.float64),
+                        "cosine": cosine.astype(np.float64),
                     }
                 )
 
