@@ -243,7 +243,9 @@ def latent_space(tokens: DataFrame, items: list[np.ndarray]) -> Space:
         known[own[np.argsort(counts[own], kind="stable")][: max(8, len(own) // 2)]] = True
     known[0] = False
     weights = np.where(known, np.log((documents + 1) / (counts + 1)), 0).astype(np.float32)
-    random = np.random.default_rng(SEED).normal(size=(TERMS, RANK)).astype(np.float32)
+    generator, random = np.random.default_rng(SEED), np.empty((TERMS, RANK), dtype=np.float32)
+    for a in range(0, TERMS, CHUNK):  # the driver holds the terms x rank matrices once; what it works out goes in parts
+        random[a : a + CHUNK] = generator.normal(size=random[a : a + CHUNK].shape)
 
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, rows = np.zeros((TERMS, RANK), dtype=np.float32), random * weights[:, None]
@@ -256,17 +258,44 @@ def latent_space(tokens: DataFrame, items: list[np.ndarray]) -> Space:
         some = np.flatnonzero(total.any(axis=1))
         yield pd.DataFrame(total[some], columns=names).assign(term=some.astype(np.int32))
 
+    def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:  # the driver gets a row's numbers as bytes, not as objects
+            yield pd.DataFrame({"term": frame["term"], "data": [r.tobytes() for r in frame[names].to_numpy(dtype=np.float64)]})
+
     names = [f"c{i}" for i in range(RANK)]
     schema = ", ".join([*(f"{c} float" for c in names), "term int"])
     summed = tokens.select("terms").mapInPandas(sketch, schema).groupBy("term").agg(*(F.sum(c).alias(c) for c in names))
-    rows = summed.toPandas()  # at most TERMS rows
     product = np.zeros((TERMS, RANK))
-    product[rows["term"].to_numpy(dtype=np.int64)] = rows[names].to_numpy()
-    basis, _ = np.linalg.qr(product)
+    for term, data in summed.mapInPandas(packed, "term int, data binary").collect():  # at most TERMS rows
+        product[term] = np.frombuffer(data)
+    basis = orthonormal(product)
     # One-pass eigenvalues of A'A on the basis: basis' (A'A) basis (basis' W) = basis' product.
-    inner = np.linalg.lstsq((basis.T @ random).T, (basis.T @ product).T, rcond=None)[0].T
+    sketched, seen = np.zeros((RANK, RANK)), np.zeros((RANK, RANK))
+    for a in range(0, TERMS, CHUNK):
+        sketched += basis[a : a + CHUNK].T @ random[a : a + CHUNK]
+        seen += basis[a : a + CHUNK].T @ product[a : a + CHUNK]
+    inner = np.linalg.lstsq(sketched.T, seen.T, rcond=None)[0].T
     values, turn = np.linalg.eigh((inner + inner.T) / 2)
-    return Space(weights, (basis @ turn[:, ::-1]).astype(np.float32), np.sqrt(np.maximum(values[::-1], 0)))
+    vectors = np.empty((TERMS, RANK), dtype=np.float32)
+    for a in range(0, TERMS, CHUNK):
+        vectors[a : a + CHUNK] = basis[a : a + CHUNK] @ turn[:, ::-1]
+    return Space(weights, vectors, np.sqrt(np.maximum(values[::-1], 0)))
+
+
+def orthonormal(matrix: np.ndarray) -> np.ndarray:
+    """The matrix's Q of QR, in parts of its rows: only their triangles are put together."""
+    out, triangles = np.empty_like(matrix), []
+    for a in range(0, len(matrix), CHUNK):
+        q, r = np.linalg.qr(matrix[a : a + CHUNK])
+        out[a : a + CHUNK, : q.shape[1]] = q
+        triangles.append(r)
+    turn, _ = np.linalg.qr(np.concatenate(triangles))
+    first = 0
+    for n, a in enumerate(range(0, len(matrix), CHUNK)):
+        rows = len(triangles[n])
+        out[a : a + CHUNK] = out[a : a + CHUNK, :rows] @ turn[first : first + rows]
+        first += rows
+    return out
 
 
 @dataclass

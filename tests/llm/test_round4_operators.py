@@ -17,6 +17,18 @@ def words_of(seed: int, n: int) -> list[str]:
     return ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randrange(3, 8))) for _ in range(n)]
 
 
+def test_term_sums_reach_the_driver_as_bytes(spark, monkeypatch):
+    """65,536 rows of 48 numbers would be 3 million objects there."""
+    docs = spark.createDataFrame([(i, " ".join(words_of(i % 7, 60))) for i in range(20)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(words_of(3, 60)[10:40]))], "item_id long, text string")
+
+    def widest(self, *args, **kwargs):
+        raise AssertionError("rows of many columns are taken into the driver as objects")
+
+    monkeypatch.setattr(type(docs), "toPandas", widest)
+    assert {r.doc_id for r in decontaminate.leaks(docs, items).collect()} == {3, 10, 17}
+
+
 @pytest.fixture(scope="module")
 def codec():
     return byte_bpe.Codec(catalog.BYTE_BPE, public_tokenizers.PATTERN)
