@@ -16,8 +16,9 @@ vocabulary, not of the encoder); the distinct runs of a batch become (run, posit
 DuckDB joins with the vocabulary and puts together by an ordered aggregation.
 
 Chunks of text and runs of ids repeat a lot: Arrow's dictionaries find the distinct ones of a batch, and each
-worker keeps the results of recent pieces and runs in bounded caches. Chunks are cut at single spaces
-between other characters, where the pattern always begins a new piece.
+worker keeps the results of recent pieces and runs in bounded caches. Texts, caches and results stay in Arrow's
+arrays: as Python's objects they would take several times the memory, and a worker gets what the JVM's heap leaves.
+Chunks are cut at single spaces between other characters, where the pattern always begins a new piece.
 
 Defined results: null text is empty (no ids, digest of nothing); repeated rows each give a row; an
 empty table gives an empty result; extra columns are ignored.
@@ -34,12 +35,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from roomledger.llm.common import Recent, id_text, worker_cache
+from roomledger.llm.common import id_text, release_memory, worker_cache
 
 MAX_STEPS = 48
 SHORT_BYTES = 64  # longer pieces go through LONG_SQL
-BATCH_BYTES = 1_000_000  # bytes of pieces in one recursive query
-BATCH_CHARS = 4_000_000  # characters of text handled at once
+BATCH_BYTES = 400_000  # bytes of pieces in one recursive query
+BATCH_CHARS = 2_000_000  # characters of text handled at once
 CACHE_ENTRIES = 250_000  # of each generation of each cache
 
 #: The smallest pair of each piece and those that nothing can come before, for the short pieces that make up nearly all text.
@@ -115,6 +116,33 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class RecentBytes:
+    """A bounded cache of two generations of Arrow arrays: before a batch that finds the young one full, the old one goes."""
+
+    def __init__(self, entries: int):
+        import pyarrow as pa
+
+        none = pa.array([], pa.large_binary())
+        self.entries, self.young, self.old = entries, (none, none), (none, none)
+
+    def values_of(self, keys, make):
+        """The value of each of the distinct ``keys``; ``make`` gives those of a list of keys that neither generation has."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if len(self.young[0]) >= self.entries:
+            none = self.young[0].slice(0, 0)
+            self.old, self.young = self.young, (none, none)
+        own = pc.index_in(keys, value_set=self.young[0])
+        absent = keys.filter(own.is_null())
+        again = pc.index_in(absent, value_set=self.old[0])
+        new = absent.filter(again.is_null())
+        kept, again = absent.filter(again.is_valid()), again.drop_null()
+        values = [self.young[1], self.old[1].take(again), pa.array(make(new.to_pylist()), pa.large_binary())]
+        self.young = pa.concat_arrays([self.young[0], kept, new]), pa.concat_arrays(values)
+        return self.young[1].take(pc.index_in(keys, value_set=self.young[0]))
+
+
 class Codec:
     """A vocabulary's merge and token tables in an in-memory DuckDB of the worker's own."""
 
@@ -157,7 +185,7 @@ class Codec:
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM token_rows")
         self.starts_run = np.zeros(int(ids.max()) + 1, dtype=bool)
         self.starts_run[[rank for token, rank in self.ranks.items() if token[:1] == b" "]] = True
-        self.pieces, self.runs = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
+        self.pieces, self.runs = RecentBytes(CACHE_ENTRIES), RecentBytes(CACHE_ENTRIES)
 
     def _register(self, name: str, table) -> None:
         self.db.register(name, table)
@@ -188,51 +216,55 @@ class Codec:
             state = {c: np.asarray(rows[c])[unfinished] for c in state}
         return found
 
-    def fill(self, pieces: set[bytes]) -> dict[bytes, bytes]:
-        """The piece cache's young generation after it has got every one of ``pieces`` (ids as u32 bytes)."""
-        ids_of = self.pieces.fresh()
+    def piece_ids(self, pieces: list[bytes]) -> list[bytes]:
+        """Token ids of each of the distinct ``pieces`` (as u32 bytes)."""
+        found: list[bytes] = [b""] * len(pieces)
         short, long = [], []
-        for piece in self.pieces.missing(pieces):
+        for at, piece in enumerate(pieces):
             rank = self.ranks.get(piece)
             if rank is not None:
-                ids_of[piece] = rank.to_bytes(4, "little")
+                found[at] = rank.to_bytes(4, "little")
             else:
-                (short if len(piece) <= SHORT_BYTES else long).append(piece)
+                (short if len(piece) <= SHORT_BYTES else long).append(at)
         for waiting in (short, long):
             queue, size = [], 0
-            for number, piece in enumerate(waiting):
-                queue.append(piece)
-                size += len(piece)
+            for number, at in enumerate(waiting):
+                queue.append(at)
+                size += len(pieces[at])
                 if size >= BATCH_BYTES or number == len(waiting) - 1:
-                    ids_of.update(zip(queue, self.merge_pieces(queue), strict=True))
+                    for own, ids in zip(queue, self.merge_pieces([pieces[n] for n in queue]), strict=True):
+                        found[own] = ids
                     queue, size = [], 0
-        return ids_of
+        return found
 
     def chunk_ids(self, words: list[str], others: list[str]):
         """Ids (as u32 bytes) of each word with a space before it, and then of each other chunk, as an Arrow array."""
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         # The pattern begins a new piece at each word's space, so the words are cut together.
-        cut = [p.encode() for p in self.pattern.findall(" " + " ".join(words))] if words else []
-        sizes = np.array([len(w.encode()) + 1 for w in words], dtype=np.int64)
-        first = np.searchsorted(np.cumsum([0, *map(len, cut)]), np.cumsum(sizes) - sizes)
-        odd = [[p.encode() for p in self.pattern.findall(chunk)] for chunk in others]
+        cut = pa.array(self.pattern.findall(" " + " ".join(words)) if words else [], pa.large_string())
+        sizes = pc.binary_length(pa.array(words, pa.large_string())).to_numpy(zero_copy_only=False) + 1
+        ends = np.cumsum(pc.binary_length(cut).to_numpy(zero_copy_only=False))
+        first = np.searchsorted(np.append(0, ends), np.cumsum(sizes) - sizes)
+        odd = [self.pattern.findall(chunk) for chunk in others]
         first = np.concatenate((first, len(cut) + np.cumsum([0, *map(len, odd)])))  # each chunk's first piece, and the end
-        cut.extend(chain.from_iterable(odd))
-        ids = [*map(self.fill(set(cut)).__getitem__, cut)]
-        ends = np.cumsum([0, *map(len, ids)])[first]
-        return pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(first) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(ids))]
-        )
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text: looked up word by word, the distinct words of all texts being cut once."""
+        cut = pa.concat_arrays([cut, pa.array(chain.from_iterable(odd), pa.large_string())])
+        coded = pc.dictionary_encode(cut.cast(pa.large_binary()))
+        ids = self.pieces.values_of(coded.dictionary, self.piece_ids).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64, count=len(ids) + 1)[first]
+        data = ids.buffers()[2] or pa.py_buffer(b"")
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first) - 1, [None, pa.py_buffer(ends), data])
+
+    def encode(self, texts) -> list[np.ndarray]:
+        """Ids of each text (of a list or Arrow array): looked up word by word, the distinct words of all texts being cut once."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        if not texts:
+        if not len(texts):
             return []
-        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        split = pc.split_pattern(texts, " ")
         coded = pc.dictionary_encode(split.flatten())
         words, word = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         after_space = np.array([not w or w[0].isspace() for w in words])
@@ -260,6 +292,20 @@ class Codec:
         known = self.chunk_ids([w for w, own in zip(words, used, strict=False) if own], others)
         return [ids.view("<u4") for ids in pieces_of(known.take(pa.array(number[place])), np.searchsorted(first, bounds))]
 
+    def run_bytes(self, runs: list[bytes]) -> list[bytes]:
+        """The bytes of each of the distinct ``runs`` of ids, put together by DuckDB."""
+        import pyarrow as pa
+
+        found: list[bytes] = []
+        for at in range(0, len(runs), 100_000):
+            part = runs[at : at + 100_000]
+            lengths = np.array([len(run) // 4 for run in part])
+            tokens = np.frombuffer(b"".join(part), dtype="<u4").astype(np.int32)
+            rows = {"run": np.repeat(np.arange(len(part), dtype=np.int32), lengths), "pos": np.arange(len(tokens)), "tok": tokens}
+            self._register("run_rows", pa.table(rows))
+            found.extend(chars.encode("latin-1") for chars in self.db.sql(DECODE_SQL).fetchnumpy()["chars"])  # each run has a row
+        return found
+
     def decode(self, sequences: list[np.ndarray]) -> list[bytes]:
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -275,20 +321,7 @@ class Codec:
         offsets = pa.py_buffer((bounds * 4).astype(np.int64))
         cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(flat.tobytes())])
         coded = pc.dictionary_encode(cut)
-        runs = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        cache = self.runs.fresh()
-        unknown = self.runs.missing(set(runs))
-        for at in range(0, len(unknown), 100_000):
-            part = unknown[at : at + 100_000]
-            lengths = np.array([len(run) // 4 for run in part])
-            tokens = np.frombuffer(b"".join(part), dtype="<u4").astype(np.int32)
-            rows = {"run": np.repeat(np.arange(len(part), dtype=np.int32), lengths), "pos": np.arange(len(tokens)), "tok": tokens}
-            self._register("run_rows", pa.table(rows))
-            decoded = self.db.sql(DECODE_SQL).fetchnumpy()
-            cache.update(
-                (part[run], chars.encode("latin-1")) for run, chars in zip(decoded["run"], decoded["chars"], strict=True)
-            )
-        known = pa.array([cache[run] for run in runs], pa.large_binary())
+        known = self.runs.values_of(coded.dictionary, self.run_bytes)
         edges = np.searchsorted(bounds, np.append(text_starts, len(flat)))
         return [part.tobytes() for part in pieces_of(known.take(coded.indices), edges)]
 
@@ -300,26 +333,35 @@ def pieces_of(joined, edges: np.ndarray) -> list[np.ndarray]:
     return [data[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
 
 
-def batches_of(texts: pd.Series, limit: int = BATCH_CHARS) -> Iterator[slice]:
-    """Slices of at most ``limit`` characters (or one text)."""
-    ends = texts.str.len().to_numpy().cumsum()
+def slices_of(sizes: np.ndarray, limit: int) -> Iterator[slice]:
+    """Slices of at most ``limit`` in all (or one row)."""
+    ends = sizes.cumsum()
     start = 0
-    while start < len(texts):
+    while start < len(sizes):
         base = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield slice(start, stop)
         start = stop
 
 
+def batches_of(texts: pd.Series, limit: int = BATCH_CHARS) -> Iterator[slice]:
+    """Slices of at most ``limit`` characters (or one text)."""
+    return slices_of(texts.str.len().to_numpy(), limit)
+
+
 def codec_udf(path: str, pattern: str, emit):
-    """A mapInPandas function: ``emit(part, ids, codec)`` gives the rows for a slice of the batch."""
+    """A mapInArrow function: ``emit(doc_ids, ids, codec)`` gives the rows for a slice of the batch."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow.compute as pc
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = worker_cache(("byte_bpe", path, pattern), lambda: Codec(path, pattern))
-        for frame in frames:
-            for part in batches_of(frame["text"]):
-                rows = frame.iloc[part]
-                yield emit(rows, codec.encode(rows["text"].tolist()), codec)
+        for batch in batches:
+            lengths = pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False)
+            for part in slices_of(lengths, BATCH_CHARS):
+                rows = batch.slice(part.start, part.stop - part.start)
+                yield emit(rows.column("doc_id"), codec.encode(rows.column("text")), codec)
+                release_memory()
 
     return run
 
@@ -327,14 +369,20 @@ def codec_udf(path: str, pattern: str, emit):
 def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the bytes decoded from them, and the ids if asked for."""
 
-    def emit(rows: pd.DataFrame, ids: list[np.ndarray], codec: Codec) -> pd.DataFrame:
+    def emit(doc_ids, ids: list[np.ndarray], codec: Codec):
+        import pyarrow as pa
+
+        sizes = [len(i) for i in ids]
         out = {
-            "doc_id": rows["doc_id"].astype("Int64").to_numpy(),
-            "n_tokens": [len(i) for i in ids],
-            "ids_sha256": [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
-            "decoded_sha256": [hashlib.sha256(b).hexdigest() for b in codec.decode(ids)],
+            "doc_id": doc_ids,
+            "n_tokens": pa.array(sizes, pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids], pa.string()),
+            "decoded_sha256": pa.array([hashlib.sha256(b).hexdigest() for b in codec.decode(ids)], pa.string()),
         }
-        return pd.DataFrame(out | ({"ids": [i.astype(np.int32) for i in ids]} if with_ids else {}))
+        if with_ids:
+            ends = np.cumsum([0, *sizes]).astype(np.int32)
+            out["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
+        return pa.RecordBatch.from_pydict(out)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return id_text(docs).mapInPandas(codec_udf(path, pattern, emit), schema)
+    return id_text(docs).mapInArrow(codec_udf(path, pattern, emit), schema)

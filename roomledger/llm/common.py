@@ -83,5 +83,17 @@ def worker_cache(key: tuple, make):
     if key not in held:
         for other in [k for k in held if isinstance(k, tuple) and k[0] != key[0]]:
             del held[other]
+            release_memory()
         held[key] = make()
     return held[key]
+
+
+def release_memory() -> None:
+    """Memory that the worker's allocators keep after use goes back to the system, where they offer that."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
