@@ -10,8 +10,13 @@ shuffled to the partition that owns them; fingerprints that meet at a variant ar
 The shuffle is packed. Variants are dealt out by a linear hash, the parity of the variant under a few
 fixed masks (``code``), and code(x ^ e) = code(x) ^ code(e): a partition can tell from x alone which of
 x's variants it owns. So a partition gets x once, in a packed block of fingerprints, and makes its
-share of the variants there, instead of receiving each as a row of its own. The number of partitions
-grows with the number of distinct fingerprints, so that one holds at most ``FINGERPRINTS`` of them.
+share of the variants there, instead of receiving each as a row of its own. The masks are disjoint, so
+that few bits changed give few codes (22 of 64, 37 of 256 for r = 2) and x goes to few partitions. Their
+number grows with the number of distinct fingerprints, so that one holds about ``FINGERPRINTS`` at most.
+
+Inside a partition finer masks cut the variants into parts of about ``VARIANTS``. Fingerprints lie in
+the order of their codes, so those whose variant by one flip falls into a part are one slice: the work
+is in proportion to the variants, however many parts there are.
 
 Colliding pairs are verified by their bit distance. Fingerprints that share a variant are linked to
 the smallest one there, not pairwise, and each partition passes on only a spanning forest of its
@@ -37,8 +42,9 @@ from roomledger.session import stage
 
 SEED = 42
 BITS = 64
-FINGERPRINTS = 8_000_000  # a partition's share of fingerprints; 8 bytes each
-VARIANTS = 2_000_000  # variants sorted at once
+FINGERPRINTS = 2_000_000  # a partition's share of fingerprints; 8 bytes each
+VARIANTS = 2_000_000  # variants compared at once
+PACKED = 1 << 18  # fingerprints packed at once
 LEAST_CODE_BITS = 6
 
 
@@ -85,11 +91,14 @@ def ball(radius: int) -> np.ndarray:
     return np.concatenate(shells)
 
 
-def code(values: np.ndarray, bits: int) -> np.ndarray:
-    """A linear hash: ``bits`` parities of each value under fixed masks."""
-    masks = np.random.default_rng(SEED).integers(0, 1 << 63, size=BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def code(values: np.ndarray, bits: int, finer: int = 0) -> np.ndarray:
+    """A linear hash: parities of each value under ``bits`` disjoint masks, above them ``finer`` ones under random masks."""
+    rng = np.random.default_rng(SEED)
+    single = np.uint64(1) << rng.permutation(BITS).astype(np.uint64)
+    masks = [np.bitwise_or.reduce(single[i::bits]) for i in range(bits)]
+    masks += [*(rng.integers(0, 1 << 63, size=finer, dtype=np.uint64) * np.uint64(2) + np.uint64(1))]
     out = np.zeros(len(values), dtype=np.int64)
-    for i, mask in enumerate(masks[:bits]):
+    for i, mask in enumerate(masks):
         out |= (np.bitwise_count(values & mask) & 1).astype(np.int64) << i
     return out
 
@@ -111,45 +120,50 @@ def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return nodes[label[others]], nodes[others]
 
 
+def repeated(values: np.ndarray) -> np.ndarray:
+    """Where the values stand that occur more than once, equal ones side by side."""
+    short = ((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+    ordered = np.sort(short)  # most variants are met once, so only what shares 32 bits of a hash is looked at
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    marked = np.zeros(1 << 16, dtype=bool)
+    marked[twice >> np.uint32(16)] = True
+    at = np.flatnonzero(np.take(marked, (short >> np.uint32(16)).astype(np.intp))) if len(twice) else np.zeros(0, dtype=np.intp)
+    at = at[np.argsort(values[at], kind="stable")]
+    same = values[at[1:]] == values[at[:-1]]
+    return at[np.concatenate((same, [False])) | np.concatenate(([False], same))] if len(at) else at
+
+
 def meet(fps: np.ndarray, bucket: int, bits: int, radius: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forest links among ``fps`` (sorted, distinct) that share a variant owned by ``bucket``."""
+    """Forest links among ``fps`` (distinct) that share a variant owned by ``bucket``."""
     flips = ball(radius)
-    flip_codes, own_codes = code(flips, bits), code(fps, bits)
-    order = np.argsort(flip_codes, kind="stable")
-    flips, flip_codes = flips[order], flip_codes[order]
-    # A finer code cuts the bucket's variants into parts that are sorted one after the other.
-    extra = max(0, int(np.ceil(np.log2(max(1.0, len(fps) * len(flips) / 2**bits / VARIANTS)))))
-    fine_flips, fine_own = code(flips, bits + extra) >> bits, code(fps, bits + extra) >> bits
-    low = np.searchsorted(flip_codes, own_codes ^ bucket, side="left")
-    high = np.searchsorted(flip_codes, own_codes ^ bucket, side="right")
+    owned = np.bincount(code(fps, bits), minlength=1 << bits)[code(flips, bits) ^ bucket].sum()
+    finer = max(0, int(np.ceil(np.log2(max(1.0, owned / VARIANTS)))))
+    codes, flip_codes = code(fps, bits, finer), code(flips, bits, finer)
+    order = np.argsort(codes, kind="stable")
+    fps, codes = fps[order], codes[order]
     links = []
-    by_range = np.unique(np.stack((low, high), axis=1), axis=0)
-    for part in range(1 << extra):
-        variants, origin = [], []
-        for a, b in by_range:
-            mine = np.flatnonzero((low == a) & (high == b))
-            for fine in np.unique(fine_own[mine]) if extra else (0,):
-                rows = mine[fine_own[mine] == fine] if extra else mine
-                own = flips[a:b][fine_flips[a:b] == (fine ^ part)] if extra else flips[a:b]
-                variants.append((fps[rows][:, None] ^ own[None, :]).ravel())
-                origin.append(np.repeat(rows, len(own)))
-        if not variants:
-            continue
-        variant, rows = np.concatenate(variants), np.concatenate(origin)
-        order = np.argsort(variant)
-        variant, rows = variant[order], rows[order]
-        same = variant[1:] == variant[:-1]
-        shared = np.concatenate((same, [False])) | np.concatenate(([False], same))  # most variants are met once
-        variant, rows = variant[shared], rows[shared]
-        if not len(rows):
+    for part in range(1 << finer):
+        wanted = flip_codes ^ (bucket | part << bits)
+        low, high = np.searchsorted(codes, wanted, side="left"), np.searchsorted(codes, wanted, side="right")
+        used = np.flatnonzero(high > low)
+        low, high = low[used], high[used]
+        stops = np.cumsum(high - low)
+        variants = np.empty(stops[-1] if len(stops) else 0, dtype=np.uint64)
+        for flip, a, b, stop in zip(flips[used], low.tolist(), high.tolist(), stops.tolist(), strict=True):
+            np.bitwise_xor(fps[a:b], flip, out=variants[stop - (b - a) : stop])
+        at = repeated(variants)
+        if not len(at):
             continue
-        order = np.lexsort((rows, variant))
+        flip = np.searchsorted(stops, at, side="right")
+        variant, rows = variants[at], at - stops[flip] + high[flip]
+        order = np.lexsort((fps[rows], variant))
         variant, rows = variant[order], rows[order]
         first = np.concatenate(([True], variant[1:] != variant[:-1]))
         smallest = rows[np.maximum.accumulate(np.where(first, np.arange(len(rows)), 0))]
-        pair = np.unique(np.stack((smallest[~first], rows[~first]), axis=1), axis=0)
-        near = np.bitwise_count(fps[pair[:, 0]] ^ fps[pair[:, 1]]) <= distance
-        links.append(forest(fps[pair[near, 0]], fps[pair[near, 1]]))
+        pair = np.unique(smallest[~first] * len(fps) + rows[~first])
+        a, b = fps[pair // len(fps)], fps[pair % len(fps)]
+        near = np.bitwise_count(a ^ b) <= distance
+        links.append(forest(a[near], b[near]))
     if not links:
         return fps[:0], fps[:0]
     return forest(np.concatenate([x for x, _ in links]), np.concatenate([y for _, y in links]))
@@ -157,8 +171,8 @@ def meet(fps: np.ndarray, bucket: int, bits: int, radius: int, distance: int) ->
 
 def code_bits(count: int, radius: int) -> int:
     """Enough parities that a partition's share of ``count`` fingerprints stays within bounds."""
-    bits, variants = LEAST_CODE_BITS, len(ball(radius))
-    while count * min(1.0, variants / 2**bits) > FINGERPRINTS:
+    bits, flips = LEAST_CODE_BITS, ball(radius)
+    while count * len(np.unique(code(flips, bits))) / 2**bits > FINGERPRINTS:
         bits += 1
     return bits
 
@@ -176,15 +190,25 @@ def links(distinct: DataFrame, count: int, distance: int) -> DataFrame:
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         flip_codes = np.unique(code(ball(radius), bits))
-        for batch in batches:
-            fps = batch["fp"].to_numpy().view(np.uint64)
+
+        def blocks(fps: np.ndarray) -> Iterator[pd.DataFrame]:
             codes = code(fps, bits)
-            if len(flip_codes) == 1 << bits:  # every partition owns variants of every fingerprint
-                yield pd.DataFrame({"bucket": np.arange(1 << bits), "block": [fps.tobytes()] * (1 << bits)})
-            else:
-                for own in np.unique(codes):
-                    block = fps[codes == own].tobytes()
-                    yield pd.DataFrame({"bucket": flip_codes ^ own, "block": [block] * len(flip_codes)})
+            order = np.argsort(codes, kind="stable")
+            fps, stops = fps[order], np.searchsorted(codes[order], np.arange(1 << bits), side="right").tolist()
+            by_code = [fps[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+            for bucket in range(1 << bits):
+                block = b"".join(by_code[c] for c in flip_codes ^ bucket)
+                if block:
+                    yield pd.DataFrame({"bucket": [bucket], "block": [block]})
+
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held.append(batch["fp"].to_numpy().view(np.uint64))
+            if sum(map(len, held)) >= PACKED:
+                yield from blocks(np.concatenate(held))
+                held = []
+        if held:
+            yield from blocks(np.concatenate(held))
 
     def join(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
         fps = np.unique(np.frombuffer(b"".join(blocks["block"]), dtype=np.uint64))
